@@ -35,7 +35,8 @@ def _by_group(pick: int) -> Column:
     return ladder
 
 
-def _with_group(students: DataFrame, key: str, seed: int) -> DataFrame:
+def with_group(students: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """Add the ability group of each student."""
     draw = _uniform(_digest(F.lit(seed), F.col(key)), 0)
     group = F
     for name, upto, *_ in labels.COHORT_GROUPS[:-1]:
@@ -59,7 +60,7 @@ def generate_scores(students: DataFrame, key: str, subjects: list[str] | None =
     Students fall into four ability groups; the weakest one fails a share of
     its subjects.
     """
-    rows = _with_group(students.select(key), key, seed).select(
+    rows = with_group(students.select(key), key, seed).select(
         key, "cohort_group", F.explode(F.lit(subjects or labels.COHORT_SUBJECTS)).alias("ma_mon")
     )
     digests = rows.withColumn("__h", _digest(F.lit(seed), F.col(key), F.col("ma_mon")))
@@ -80,7 +81,7 @@ def generate_cohort(
     """n students in wide form: ma_sv, ho_ten, one column per subject, optional TOEIC."""
     subjects = subjects or (list(labels.SUBJECT_NAMES) if toeic else labels.COHORT_SUBJECTS)
     person = F.col("id")
-    people = _with_group(spark.range(n), "id", seed)
+    people = with_group(spark.range(n), "id", seed)
     people = generate_toeic(people, "id", seed) if toeic else people
     digests = people.withColumns({f"__h{i}": _digest(F.lit(seed), person, F.lit(c)) for i, c in enumerate(subjects)})
     # lpad would cut longer numbers

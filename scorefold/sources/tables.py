@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scorefold.operators.schema import normalize_columns
 
@@ -40,7 +41,7 @@ def detect_delimiter(spark: SparkSession, path: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: str | None = None, sep: str | None = None, normalize: bool = True
+    spark: SparkSession, path: str, schema: StructType | str | None = None, sep: str | None = None, normalize: bool = True
 ) -> DataFrame:
     """A CSV table with header; the separator is detected and header spaces are removed.
 
@@ -51,12 +52,12 @@ def read_table(
     return normalize_columns(df) if normalize else df
 
 
-def read_scores(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_scores(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Wide student scores, separated by `;`."""
     return read_table(spark, path, schema, sep=";", normalize=False)
 
 
-def read_subject_stats(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_subject_stats(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Subject statistics, separated by `,`; the code column is always text."""
     df = read_table(spark, path, schema, sep=",")
     return df.withColumn("MaMH", F.col("MaMH").cast("string")) if "MaMH" in df.columns else df
