@@ -6,9 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def string_sql(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def named(name: str) -> Column:
-    """A column by its exact name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its exact name."""
+    return F.col(quoted(name))
 
 
 def as_column(value: Column | str) -> Column:

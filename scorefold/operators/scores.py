@@ -8,22 +8,24 @@ column arithmetic and never shuffle.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorefold import labels
-from scorefold.functions.casts import named, safe_double
-from scorefold.functions.scale import scale4
+from scorefold.functions.casts import named, quoted, string_sql
+from scorefold.functions.scale import scale4, scale4_sql
 from scorefold.operators.schema import columns_except
 
 STUDENT, NAME, SUBJECT, SCORE = "ma_sv", "ho_ten", "ma_mon", "diem"
 
 
-def total(columns: list[Column]) -> Column:
-    return reduce(add, columns)
+def number_sql(name: str) -> str:
+    """A score column as a double, null where it holds no number."""
+    return f"try_cast({quoted(name)} AS DOUBLE)"
+
+
+def sum_sql(terms: list[str]) -> str:
+    return " + ".join(terms)
 
 
 def unpivot_scores(
@@ -39,18 +41,21 @@ def unpivot_scores(
     """
     scores = score_cols or columns_except(wide, [*id_cols, *non_score_cols])
     # one common type first: inferred schemas mix int and double
-    typed = wide.select(*[named(c) for c in id_cols], *[safe_double(c, None).alias(c) for c in scores])
+    typed = wide.select(*[named(c) for c in id_cols], *[F.expr(number_sql(c)).alias(c) for c in scores])
     return typed.unpivot([named(c) for c in id_cols], [named(c) for c in scores], SUBJECT, SCORE)
 
 
-def pivot_scores(scores: DataFrame, subjects: list[str], aggregate=F.avg) -> DataFrame:
+def pivot_scores(scores: DataFrame, subjects: list[str], aggregate: str = "avg") -> DataFrame:
     """One column per listed subject, null where a student has no score.
 
-    One conditional aggregate per subject: a single shuffle by student, where
-    the two-phase pivot would first shuffle by (student, subject).
+    One filtered aggregate per subject: a single shuffle by student, where the
+    two-phase pivot would first shuffle by (student, subject).
     """
     return scores.groupBy(STUDENT).agg(
-        *[aggregate(F.when(named(SUBJECT) == code, named(SCORE))).alias(code) for code in subjects]
+        *[
+            F.expr(f"{aggregate}({SCORE}) FILTER (WHERE {SUBJECT} = {string_sql(code)})").alias(code)
+            for code in subjects
+        ]
     )
 
 
@@ -100,28 +105,24 @@ def student_features_rowwise(
     ids = [named(c) for c in id_cols if c in wide.columns]
     codes = score_cols or columns_except(wide, [*id_cols, *non_score_cols])
     n = len(codes)
-    h = [f"h{i}" for i in range(n)]
-    raw = [f"r{i}" for i in range(n)]
-    scores = wide.select(*ids, *[safe_double(c, None).alias(r) for c, r in zip(codes, raw)])
-    # the scaled values are used twice below: naming them first evaluates each ladder once
-    scaled = scores.select("*", *[scale4(r).alias(x) for r, x in zip(raw, h)])
-    counted = {"raw": raw, "scaled": h}[counts]
-    sums = scaled.select(
+    raw = [number_sql(c) for c in codes]
+    h = [f"({scale4_sql(r)})" for r in raw]
+    counted = {"raw": "x", "scaled": f"({scale4_sql('x')})"}[counts]
+    # The ladders stay expressions of this one projection, and the counts read an
+    # array: a projection of so many columns as plain branches would make one
+    # Java method too long for the JIT compiler, several times slower than this.
+    taken = f"array({', '.join(raw)})"
+    sums = wide.select(
         *ids,
-        total([F.col(x) for x in h]).alias("s1"),
-        total([F.col(x) * F.col(x) for x in h]).alias("s2"),
-        total([F.when(F.col(x) < fail_lt, 1).otherwise(0) for x in counted]).cast("bigint").alias("failed_subjects"),
-        total([F.when(F.col(x) >= excellent_ge, 1).otherwise(0) for x in counted])
-        .cast("bigint")
-        .alias("excellent_subjects"),
+        F.expr(sum_sql(h)).alias("s1"),
+        F.expr(sum_sql([f"{x} * {x}" for x in h])).alias("s2"),
+        F.expr(f"CAST(size(filter({taken}, x -> {counted} < {fail_lt})) AS BIGINT)").alias("failed_subjects"),
+        F.expr(f"CAST(size(filter({taken}, x -> {counted} >= {excellent_ge})) AS BIGINT)").alias("excellent_subjects"),
     )
     # 4-point values are multiples of one half, so s1, s2 and n*s2 - s1*s1 are exact
     spread2 = F.greatest(F.lit(0.0), F.lit(n) * F.col("s2") - F.col("s1") * F.col("s1"))
     degrees = {"population": n * n, "sample": n * (n - 1)}[std]
-    if degrees:
-        deviation = F.sqrt(spread2 / degrees)
-    else:
-        deviation = F.lit(fill_std).cast("double")
+    deviation = F.sqrt(spread2 / degrees) if degrees else F.lit(fill_std).cast("double")
     return sums.select(
         *ids, (F.col("s1") / n).alias("gpa"), deviation.alias("std_score"), "failed_subjects", "excellent_subjects"
     )
@@ -146,15 +147,24 @@ def field_gpa(wide: DataFrame, fields: dict[str, list[str]] | None = None, digit
     fields = fields or labels.CAREER_FIELDS
     present = {field: [c for c in codes if c in wide.columns] for field, codes in fields.items()}
     mapped = [c for codes in present.values() for c in codes]
-    scaled = wide.withColumns({f"_{c}_4": scale4(safe_double(c, None)) for c in dict.fromkeys(mapped)})
+    scaled = {c: f"({scale4_sql(number_sql(c))})" for c in dict.fromkeys(mapped)}
 
     def mean(codes: list[str]) -> Column:
         if not codes:
             return F.lit(0.0)
-        return F.round(total([named(f"_{c}_4") for c in codes]) / len(codes), digits)
-
-    return scaled.withColumns(
-        {**{gpa_column(field): mean(codes) for field, codes in present.items()}, "gpa_tong": mean(mapped)}
+        # Doubling both sides changes no bit, but a ladder used twice is compiled as a
+        # shared method of its own; inlined, this many ladders make one Java method
+        # too long for the JIT compiler, several times slower when only a mean is read.
+        doubled = sum_sql([f"{scaled[c]} + {scaled[c]}" for c in codes])
+        return F.round(F.expr(doubled) / (2 * len(codes)), digits)
+
+    added = {
+        **{f"_{c}_4": F.expr(h) for c, h in scaled.items()},
+        **{gpa_column(field): mean(codes) for field, codes in present.items()},
+        "gpa_tong": mean(mapped),
+    }
+    return wide.select(
+        *[named(c) for c in wide.columns if c not in added], *[value.alias(c) for c, value in added.items()]
     )
 
 

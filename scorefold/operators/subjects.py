@@ -21,6 +21,7 @@ def subject_stats(
     weight: str | None = None,
     cuts=LETTER_CUTS,
     missing: Column | None = None,
+    name: str | None = None,
 ) -> DataFrame:
     """TB, SD, the letter shares, the median TV and MTC% per subject.
 
@@ -28,14 +29,16 @@ def subject_stats(
     leaves each task as at most one row per distinct score; mean, spread,
     shares and the exact median then come from those counts.  `weight` says how
     many results a row stands for.  MTC% is the share of null scores unless
-    `missing` gives another expression.
+    `missing` gives another expression.  `name` carries a subject's name along.
     """
     n = F.col("n")
     x = F.col("x")
+    keys = [named(subject).alias("MaMH"), *([named(name).alias("TenMH")] if name else [])]
+    ids = ["MaMH", "TenMH"][: len(keys)]
     counts = (
-        scores.select(named(subject).alias("MaMH"), named(score).cast("double").alias("x"),
+        scores.select(*keys, named(score).cast("double").alias("x"),
                       (named(weight) if weight else F.lit(1)).cast("bigint").alias("w"))
-        .groupBy("MaMH", "x")
+        .groupBy(*ids, "x")
         .agg(F.sum("w").alias("n"))
     )
     scored = F.sum(F.when(x.isNotNull(), n))
@@ -51,7 +54,7 @@ def subject_stats(
     s1, s2 = F.sum(n * x), F.sum(n * x * x)
     spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(scored * s2 - s1 * s1, scored * (scored - 1))))
     lost = F.coalesce(F.sum(F.when(x.isNull(), n)), F.lit(0))
-    return counts.groupBy("MaMH").agg(
+    return counts.groupBy(*ids).agg(
         F.try_divide(s1, scored).alias("TB"),
         spread.alias("SD"),
         *shares,

@@ -61,7 +61,7 @@ def scores_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ma_sv and one column per subject code; null for a subject not taken."""
-    return pivot_scores(scores_long(spark, sf_dir), SUBJECT_CODES, F.max)
+    return pivot_scores(scores_long(spark, sf_dir), SUBJECT_CODES, "max")
 
 
 def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,9 +95,8 @@ POINT_CUTS = (("A+%", 90), ("A%", 85), ("B%", 70), ("C%", 55), ("D%", 40))
 def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The subject statistics table: MaMH, TenMH and the ten numeric columns."""
     points = subject_points(spark, sf_dir)
-    base = subject_stats(points, "ma_mon", "x", "n", POINT_CUTS, missing=F.lit(0.0))
-    names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("MaMH"), F.col("p_name").alias("TenMH"))
-    return base.join(names, "MaMH").select(
+    base = subject_stats(points, "ma_mon", "x", "n", POINT_CUTS, missing=F.lit(0.0), name="TenMH")
+    return base.select(
         F.col("MaMH").cast("string").alias("MaMH"),
         "TenMH",
         F.round(F.col("TB") / 10.0, 4).alias("TB"),
