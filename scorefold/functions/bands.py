@@ -80,8 +80,8 @@ def excellent_percent(count, total) -> Column:
 
 
 def unit(value: Column) -> Column:
-    """Clamp to 0..1."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+    """Clamp to 0..1; null stays null."""
+    return F.when(value < 0, 0.0).when(value > 1, 1.0).otherwise(value)
 
 
 def subject_average_label(average) -> Column:

@@ -52,7 +52,9 @@ def subject_stats(
         above = floor
     shares.append(share(x < above).alias("F%"))
     s1, s2 = F.sum(n * x), F.sum(n * x * x)
-    spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(scored * s2 - s1 * s1, scored * (scored - 1))))
+    variance = F.try_divide(scored * s2 - s1 * s1, scored * (scored - 1))
+    # greatest() skips nulls, so a single score is kept apart
+    spread = F.when(scored > 1, F.sqrt(F.greatest(F.lit(0.0), variance)))
     lost = F.coalesce(F.sum(F.when(x.isNull(), n)), F.lit(0))
     return counts.groupBy(*ids).agg(
         F.try_divide(s1, scored).alias("TB"),
