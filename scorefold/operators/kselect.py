@@ -5,6 +5,9 @@ A metrics table has one row per tried k, so its unpartitioned windows stay tiny.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, Window
@@ -17,19 +20,34 @@ METRICS_SCHEMA = "k int, wcss double, silhouette double"
 
 
 def k_sweep(
-    df: DataFrame, feature_cols: list[str], k_min: int = 2, k_max: int = 10, seed: int = 42, scale: bool = False
+    df: DataFrame,
+    feature_cols: list[str],
+    k_min: int = 2,
+    k_max: int = 10,
+    seed: int = 42,
+    scale: bool = False,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Fit every k and measure it; k stops at the number of distinct feature rows.
 
-    The vectors are written once to the shared folder: every fit and every
-    evaluation reads them again, and none of them recomputes the features.
+    The vectors are written once to the shared folder and cached once for all
+    fits, so no fit recomputes the features or keeps a copy of its own, and a
+    lost executor costs a re-read.  `parallelism` fits run side by side, so the
+    small jobs of one fill the gaps of another.
     """
-    vectors = durable(assemble(df, feature_cols, scale).select(VECTOR))
+    vectors = durable(assemble(df, feature_cols, scale).select(VECTOR)).persist()
     evaluator = ClusteringEvaluator(featuresCol=VECTOR, predictionCol="prediction")
-    rows = []
-    for k in range(k_min, min(k_max, distinct_up_to(vectors, k_max)) + 1):
+
+    def measure(k: int) -> tuple[int, float, float]:
         model = KMeans(k=k, seed=seed, featuresCol=VECTOR).fit(vectors)
-        rows.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(vectors)))))
+        return k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(vectors)))
+
+    try:
+        tried = range(k_min, min(k_max, distinct_up_to(vectors, k_max)) + 1)
+        with ThreadPool(parallelism) as pool:
+            rows = pool.map(inheritable_thread_target(df.sparkSession)(measure), tried)
+    finally:
+        vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
 
 
