@@ -32,8 +32,8 @@ def safe_double(value: Column | str, on_invalid: float | None = 0.0) -> Column:
 
 
 def safe_int(value: Column | str, on_invalid: int | None = 0) -> Column:
-    """Whole number from text; '12.5' is not one, ' 7 ' is."""
-    number = as_column(value).cast("string").try_cast("bigint")
+    """Whole number; the text '12.5' is not one, ' 7 ' is, and the number 12.5 is cut to 12."""
+    number = as_column(value).try_cast("bigint")
     return number if on_invalid is None else F.coalesce(number, F.lit(on_invalid).cast("bigint"))
 
 

@@ -33,10 +33,20 @@ def _page(df: DataFrame, limit: int | None, order_by) -> DataFrame:
 
 def filter_codes(df: DataFrame, codes: list[str] | DataFrame, column: str = "MaMH") -> DataFrame:
     """Rows whose code is in a list, or in the first column of a table of codes."""
+    types = dict(df.dtypes)
     if isinstance(codes, DataFrame):
-        wanted = codes.select(codes[codes.columns[0]].cast("string").alias("__code"))
-        return df.join(wanted, named(column).cast("string") == F.col("__code"), "left_semi")
-    return df.filter(named(column).cast("string").isin([str(c) for c in codes]))
+        code, code_type = codes.dtypes[0]
+        # equal types join as they are; text is the common ground for all others
+        left = named(column) if types[column] == code_type else named(column).cast("string")
+        right = named(code) if types[column] == code_type else named(code).cast("string")
+        wanted = codes.select(right.alias("__code"))
+        return df.join(wanted, left == F.col("__code"), "left_semi")
+    wanted = [str(c) for c in codes]
+    if types[column] in ("tinyint", "smallint", "int", "bigint"):
+        # compare as numbers, so that the list reaches the scan; other texts match no number
+        numbers = [int(c) for c in wanted if re.fullmatch("0|-?[1-9][0-9]*", c)]
+        return df.filter(named(column).isin(numbers))
+    return df.filter(named(column).cast("string").isin(wanted))
 
 
 def student_search(df: DataFrame, keyword: str = "", columns=("ma_sv", "ho_ten")) -> DataFrame:
@@ -56,7 +66,7 @@ def matches(value: Column | str, keyword: str, mode: str = "regex") -> Column:
     if mode == "literal":
         return F.lower(text).contains(keyword.lower())
     re.compile(keyword)  # a broken pattern fails here, not in the middle of a job
-    return text.rlike("(?i)" + keyword)
+    return text.rlike("(?iu)" + keyword)
 
 
 def search_any(

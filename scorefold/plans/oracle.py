@@ -458,6 +458,12 @@ SQL: dict[str, str] = {
         {GPA_COLOR} as gpa_color, format('{{:.2f}}', std_score) as std_text, {STD_LABEL} as stability_label,
         {FAILED_LABEL} as failed_label, {EXCELLENT_PERCENT} || '% tổng số môn' as excellent_label,
         {EXCELLENT_COLOR} as excellent_color, label, risk from risk join profiles on pid = prediction""",
+    "sanitize_student": f"""with {MARKET}, numbers as (
+          select "Role", "JobCount", coalesce(try_cast(trim("JobCount") as double), 0.0::double) as x from market)
+        select "Role" as ma_sv, x as gpa, x as std_score, cast(trunc(x) as bigint) as failed_subjects,
+        cast(trunc(x) as bigint) as excellent_subjects,
+        cast(case when regexp_full_match(trim("JobCount"), '[+-]?[0-9]+') then cast(trim("JobCount") as integer) else 1 end as integer)
+        as prediction from numbers""",
     "risk_ranking": f"with {RISK_TABLE} select * from risk",
     "subject_stats": f"with {STATS} select * from stats",
     "subject_difficulty": f'with {STATS} select "MaMH", {DIFFICULTY} as "DoKho" from stats',
@@ -572,6 +578,9 @@ SQL: dict[str, str] = {
     "page_marker": """select page_id, contains(html, '__NEXT_DATA__') as has_payload, contains(html, '<html lang="en"') as has_marker from pages""",
     "page_payload_titles": """select page_id, 2 as n_payload, url || chr(10) || url as payload, url as payload_sample from pages""",
     "page_count_phrases": phrases(),
+    "importance_top": f"""with {SCORES}, shares as (
+          select ma_mon as subject, count(*) / (select count(*) from scores) as share from scores group by 1)
+        select subject, {rnd("100 * share", 1)} as percent from shares where share > 0.01 order by percent desc, subject limit 10""",
     "generate_scores": GENERATED,
     "generate_toeic": GENERATED_TOEIC,
 }

@@ -286,6 +286,14 @@ def student_card(spark, d):
     )
 
 
+@query
+def sanitize_student(spark, d):
+    """Cards over rows whose numbers are the market's texts."""
+    columns = ["gpa", "std_score", "failed_subjects", "excellent_subjects", "prediction"]
+    dirty = inputs.market(spark, d).select(F.col("Role").alias("ma_sv"), *[F.col("JobCount").alias(c) for c in columns])
+    return cards.sanitize_student(dirty)
+
+
 @query
 def risk_ranking(spark, d):
     return students.order_by_risk(_assigned(spark, d), STUDENT_CENTRES, "cluster")
@@ -707,6 +715,15 @@ def rf_importance(spark, d):
     return importance.feature_importance(durable(_ready(spark, d)))
 
 
+@query
+def importance_top(spark, d):
+    """The report of importances, here each subject's share of all scores."""
+    shares = cards.group_share(inputs.scores_long(spark, d), "ma_mon")
+    return importance.top_importances(
+        shares.select(F.concat(F.lit("_"), "ma_mon", F.lit("_4")).alias("column"), (F.col("percent") / 100).alias("importance"))
+    )
+
+
 @query
 def model_roundtrip(spark, d):
     features = durable(students.risk_features(inputs.cohort(spark, d)))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import glob
-import math
 import os
 
 import duckdb
@@ -17,9 +16,8 @@ def connect(sf_dir: str):
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else value + 0.0
-    return value
+    """Floats as their exact text, so that -0.0 and NaN count too."""
+    return repr(value) if isinstance(value, float) else value
 
 
 def _key(row):

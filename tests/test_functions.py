@@ -20,6 +20,7 @@ def test_safe_numbers(column):
     assert column(texts, "string", casts.safe_int) == [0, 0, 7, 0, 0, -3, 0]
     assert column(texts, "string", casts.safe_double) == [0, 0, 7, 12.5, 0, -3, 1000]
     assert column(texts, "string", lambda c: casts.safe_double(c, None)) == [None, None, 7, 12.5, None, -3, 1000]
+    assert column([12.5, -1.5, None, float("nan")], "double", casts.safe_int) == [12, -1, 0, 0]
     assert column(["3.9", "x", None, "4"], "string", casts.truncated_int) == [3, 0, 0, 4]
 
 
@@ -78,6 +79,7 @@ def test_other_bands(column):
     assert column([0, 1, 2, 5, None], "int", bands.readiness_rank_tag) == ["high", "med", "danger", "danger", ""]
     assert column(["2", "0", "3", "1", "7", "x", None], "string", bands.cluster_tag) == [
         "danger", "warning", "good", "excellent", "good", "excellent", "excellent"]
+    assert column([2.0, 3.0], "double", bands.cluster_tag) == ["danger", "good"]
 
 
 def test_difficulty(rows):

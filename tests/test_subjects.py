@@ -145,6 +145,8 @@ def test_search_subjects(spark):
     with pytest.raises(Exception):
         search.search_subjects(stats, "(")
     assert search.search_subjects(stats, "1", limit=1).count() == 1
+    # case folding reaches accented letters
+    assert [r["MaMH"] for r in search.search_subjects(stats, "TOÁN|NÂNG").orderBy("MaMH").collect()] == ["17", "18"]
 
 
 def test_search_table(spark):
@@ -159,7 +161,9 @@ def test_search_table(spark):
 
 def test_filter_codes_and_students(spark):
     df = spark.createDataFrame([(101, "An"), (102, "Bình"), (103, None)], "ma_sv int, ho_ten string")
-    assert search.filter_codes(df, ["101", "x"], "ma_sv").count() == 1
+    assert search.filter_codes(df, ["101", "x", "0102"], "ma_sv").count() == 1
+    assert search.filter_codes(df, ["x"], "ma_sv").count() == 0
+    assert search.filter_codes(df, ["An", "x"], "ho_ten").count() == 1
     codes = spark.createDataFrame([("102",), ("102",)], "c string")
     assert [r["ma_sv"] for r in search.filter_codes(df, codes, "ma_sv").collect()] == [102]
     assert [r["ma_sv"] for r in search.student_search(df, "BÌNH").collect()] == [102]
