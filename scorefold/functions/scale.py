@@ -19,6 +19,14 @@ def scale4_sql(score: str, steps=labels.SCALE4_STEPS, top: float = labels.SCALE4
     return f"CASE WHEN {score} > {float(top)}D THEN 0.0D {branches} ELSE 0.0D END"
 
 
+def reaches_sql(score: str, bound: float, steps=labels.SCALE4_STEPS, top: float = labels.SCALE4_TOP) -> str:
+    """`scaled value >= bound` as a range of the raw score; steps rise with their floors."""
+    if bound <= 0:
+        return "true"
+    floors = [floor for floor, value in steps if value >= bound]
+    return f"{score} >= {float(min(floors))}D AND {score} <= {float(top)}D" if floors else "false"
+
+
 def scale4(score: Column | str, steps=labels.SCALE4_STEPS, top: float = labels.SCALE4_TOP) -> Column:
     """10-point score -> 4-point value; null, below the lowest step or above the top -> 0."""
     if isinstance(score, str):

@@ -30,13 +30,6 @@ CAREER_FIELDS = {
     "Software Engineering": ["17427", "17434", "17426", "17432", "17236"],
     "Core / Foundation": ["17206", "17232", "17302", "17301", "17303", "17104"],
 }
-CAREER_SKILLS = {
-    "AI / Data Science": ["python", "machine learning", "data", "sql"],
-    "Web / Mobile Dev": ["javascript", "react", "html", "css", "node", "php"],
-    "Network / Security": ["network", "security", "aws", "docker"],
-    "Software Engineering": ["java", "c#", "c++", "oop", "sql", "git"],
-    "Core / Foundation": ["c", "linux", "system"],
-}
 DEFAULT_FIELD = "Core / Foundation"
 
 # Role keywords, first matching field wins; no match means DEFAULT_FIELD.

@@ -23,7 +23,6 @@ from scorefold.functions import bands
 from scorefold.functions.casts import named
 from scorefold.functions.rules import lookup
 from scorefold.operators.schema import clean_features
-from scorefold.session import durable
 
 RAW, VECTOR = "raw_features", "features"
 
@@ -120,10 +119,10 @@ def centres_long(spark: SparkSession, centres: list[list[float]], feature_cols:
 
 
 def evaluate_model(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The clustered rows, and one row (silhouette, band)."""
+    """The clustered rows, and one row (silhouette, band); df is read twice, so it should be durable."""
     column = model.stages[-1].getPredictionCol()
     vectors = model.transform(clean_features(df, model_features(model))).select(VECTOR, column)
-    score = ClusteringEvaluator(predictionCol=column, featuresCol=VECTOR).evaluate(durable(vectors))
+    score = ClusteringEvaluator(predictionCol=column, featuresCol=VECTOR).evaluate(vectors)
     report = df.sparkSession.createDataFrame([(float(score),)], "silhouette double")
     return apply_clusters(model, df), report.withColumn("band", bands.silhouette_label("silhouette"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scorefold import labels
 from scorefold.functions.casts import named, quoted, string_sql
-from scorefold.functions.scale import scale4, scale4_sql
+from scorefold.functions.scale import reaches_sql, scale4, scale4_sql
 from scorefold.operators.schema import columns_except
 
 STUDENT, NAME, SUBJECT, SCORE = "ma_sv", "ho_ten", "ma_mon", "diem"
@@ -107,17 +107,24 @@ def student_features_rowwise(
     n = len(codes)
     raw = [number_sql(c) for c in codes]
     h = [f"({scale4_sql(r)})" for r in raw]
-    counted = {"raw": "x", "scaled": f"({scale4_sql('x')})"}[counts]
-    # The ladders stay expressions of this one projection, and the counts read an
-    # array: a projection of so many columns as plain branches would make one
-    # Java method too long for the JIT compiler, several times slower than this.
+    # The ladders stay expressions of one projection, and the counts read an array:
+    # a projection of so many columns as plain branches would make one Java method
+    # too long for the JIT compiler, several times slower than this.
     taken = f"array({', '.join(raw)})"
+    if counts == "scaled":
+        failed = f"{n} - size(filter({taken}, x -> {reaches_sql('x', fail_lt)}))"
+        excellent = f"size(filter({taken}, x -> {reaches_sql('x', excellent_ge)}))"
+    elif counts == "raw":
+        failed = f"size(filter({taken}, x -> x < {fail_lt}))"
+        excellent = f"size(filter({taken}, x -> x >= {excellent_ge}))"
+    else:
+        raise ValueError(f"unknown counts: {counts}")
     sums = wide.select(
         *ids,
         F.expr(sum_sql(h)).alias("s1"),
         F.expr(sum_sql([f"{x} * {x}" for x in h])).alias("s2"),
-        F.expr(f"CAST(size(filter({taken}, x -> {counted} < {fail_lt})) AS BIGINT)").alias("failed_subjects"),
-        F.expr(f"CAST(size(filter({taken}, x -> {counted} >= {excellent_ge})) AS BIGINT)").alias("excellent_subjects"),
+        F.expr(f"CAST({failed} AS BIGINT)").alias("failed_subjects"),
+        F.expr(f"CAST({excellent} AS BIGINT)").alias("excellent_subjects"),
     )
     # 4-point values are multiples of one half, so s1, s2 and n*s2 - s1*s1 are exact
     spread2 = F.greatest(F.lit(0.0), F.lit(n) * F.col("s2") - F.col("s1") * F.col("s1"))

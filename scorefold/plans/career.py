@@ -10,6 +10,7 @@ from scorefold import labels
 from scorefold.operators import cards, clustering, kselect, market, scores
 from scorefold.operators.schema import clean_features
 from scorefold.operators.search import student_search
+from scorefold.session import durable
 
 READINESS_COLUMN = "nhom_san_sang"
 
@@ -43,7 +44,7 @@ def train_readiness(
 
     Unscaled by default, so TOEIC (up to 990) outweighs the GPA (up to 4).
     """
-    data = clustering.durable(readiness_table(wide).select(labels.READINESS_FEATURES))
+    data = durable(readiness_table(wide).select(labels.READINESS_FEATURES))
     metrics = None
     if k is None:
         k, metrics = kselect.suggest_k(data, labels.READINESS_FEATURES, k_min, k_max, seed, scale)

@@ -10,6 +10,7 @@ from scorefold import labels
 from scorefold.functions.casts import named
 from scorefold.operators import cards, clustering, kselect, scores
 from scorefold.operators.schema import project
+from scorefold.session import durable
 
 RISK_COLUMNS = ["ma_sv", "ho_ten", *labels.STUDENT_FEATURES, "prediction"]
 
@@ -63,7 +64,7 @@ def train_risk(
     wide: DataFrame, k: int | None = None, seed: int = 1, k_min: int = 2, k_max: int = 8
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """The model, the clustered students, and (silhouette, band); k is chosen from the data if not given."""
-    features = clustering.durable(risk_features(wide))
+    features = durable(risk_features(wide))
     if k is None:
         k, _ = kselect.suggest_k(features, labels.STUDENT_FEATURES, k_min, k_max)
     model = clustering.fit_clusters(features, labels.STUDENT_FEATURES, k, seed)

@@ -11,6 +11,7 @@ from scorefold.functions import rules
 from scorefold.operators import clustering, kselect, subjects
 from scorefold.operators.schema import clean_features
 from scorefold.operators.search import filter_codes
+from scorefold.session import durable
 
 
 def cluster_quality(
@@ -74,7 +75,7 @@ def train_subject_quality(
 ) -> tuple[PipelineModel, DataFrame | None]:
     """The scaled model and, if asked for (or k is None), the metrics of the sweep on the same scaled features."""
     metrics = None
-    data = clustering.durable(clean_features(stats, labels.SUBJECT_FEATURES).select(labels.SUBJECT_FEATURES))
+    data = durable(clean_features(stats, labels.SUBJECT_FEATURES).select(labels.SUBJECT_FEATURES))
     if sweep or k is None:
         suggested, metrics = kselect.suggest_k(data, labels.SUBJECT_FEATURES, k_min, k_max, seed, scale=True)
         k = suggested if k is None else k

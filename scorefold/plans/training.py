@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scorefold import labels
 from scorefold.operators import clustering, kselect
 from scorefold.plans import career, students, subjects
+from scorefold.session import durable
 from scorefold.sources.models import save_model
 from scorefold.sources.tables import read_scores, read_subject_stats
 
@@ -48,7 +49,7 @@ def train(kind: Kind | str, df: DataFrame, k: int, path: str | None = None) -> P
     kind = Kind(kind)
     seed = 1 if kind is Kind.STUDENT else 42
     column = "cluster" if kind is Kind.READINESS else "prediction"
-    model = clustering.fit_clusters(clustering.durable(data.select(columns)), columns, k, seed, scale, column)
+    model = clustering.fit_clusters(durable(data.select(columns)), columns, k, seed, scale, column)
     if path is not None:
         save_model(model, path)
     return model

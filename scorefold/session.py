@@ -8,18 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(app_name: str = "scorefold") -> SparkSession:
-    """A session with the settings the library is written for; the cluster's own win."""
-    return (
+def get_session(app_name: str = "scorefold", initial_partitions: int | None = None) -> SparkSession:
+    """A session with the settings the library is written for.
+
+    initial_partitions is the number of shuffle partitions to start from; AQE
+    merges small ones, so set it for the largest shuffle (its size / 200 MB).
+    """
+    builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # no call-site capture per column operation: wide tables need hundreds of them
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    if initial_partitions is not None:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -12,7 +12,7 @@ from scorefold.operators import clustering, importance, kselect
 from scorefold.plans import career, inputs, students
 from scorefold.plans import subjects as subject_plans
 from scorefold.plans import training
-from scorefold.session import scratch_path
+from scorefold.session import durable, scratch_path
 from scorefold.sources import models
 
 XY = ["x", "y"]
@@ -197,7 +197,7 @@ def test_importance(spark):
 
 
 def test_risk_pipeline(spark, sf_dir):
-    wide = clustering.durable(inputs.cohort(spark, sf_dir))
+    wide = durable(inputs.cohort(spark, sf_dir))
     model, clusters, report = students.train_risk(wide, k=4)
     assert clusters.count() == wide.count() and -1 <= report.first()["silhouette"] <= 1
     scored = students.score_risk(wide, model)
@@ -214,7 +214,7 @@ def test_risk_pipeline(spark, sf_dir):
 
 
 def test_career_pipeline(spark, sf_dir):
-    wide = clustering.durable(inputs.cohort(spark, sf_dir))
+    wide = durable(inputs.cohort(spark, sf_dir))
     model, sweep = career.train_readiness(wide)
     assert sweep.count() == 5
     every = career.analyze_students(wide, inputs.market(spark, sf_dir), model=model)
@@ -231,7 +231,7 @@ def test_career_pipeline(spark, sf_dir):
 
 
 def test_subject_pipeline(spark, sf_dir):
-    stats = clustering.durable(inputs.stats(spark, sf_dir))
+    stats = durable(inputs.stats(spark, sf_dir))
     model, sweep = subject_plans.train_subject_quality(stats, sweep=True, k_max=4)
     assert sweep.count() == 3
     everything = subject_plans.analyze_subjects(stats, model=model)
@@ -246,8 +246,8 @@ def test_subject_pipeline(spark, sf_dir):
 
 
 def test_training_by_kind(spark, sf_dir):
-    wide = clustering.durable(inputs.cohort(spark, sf_dir))
-    stats = clustering.durable(inputs.stats(spark, sf_dir))
+    wide = durable(inputs.cohort(spark, sf_dir))
+    stats = durable(inputs.stats(spark, sf_dir))
     path = scratch_path(spark, "trained")
     model = training.train("student", wide, 4, path)
     assert clustering.model_centres(models.load_or(path)) == clustering.model_centres(model)
