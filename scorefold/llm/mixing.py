@@ -30,7 +30,7 @@ BLOCK_WORDS = 256
 CAP = 3
 SEED = "mix"
 #: Rows that one window sorts at most: documents of a hash bucket (on average), slots of a stretch.
-STRETCH = 4096
+STRETCH = 1024
 
 
 class Mix(NamedTuple):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorefold.llm import dedup, mixing, packing, quality, simhash, toxicity
+from scorefold.llm import dedup, lattice, mixing, packing, quality, repeats, simhash, topk, toxicity, warc
 from scorefold.llm.common import table
 
 
@@ -20,6 +20,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.likelihood(table(spark, sf_dir, "documents"))
+
+
+def op6_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -28,11 +40,21 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixture, op2_exact_dedup, op3_quality, op7_packing, op8_simhash, op10_toxicity)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mixture, op2_exact_dedup, op3_quality, op4_warc, op5_lattice, op6_top_inner_products, op7_packing, op8_simhash,
+        op9_repeats, op10_toxicity,
+    )
+}
 
 #: The number of words, without the empty piece that leading or trailing blanks leave.
 _SIZE = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -63,4 +85,20 @@ ranked AS (
   SELECT doc_id, own, first_value(doc_id) OVER g AS keep_id, row_number() OVER g AS r, count(*) OVER (PARTITION BY own) AS n
   FROM docs WINDOW g AS (PARTITION BY own ORDER BY chars DESC, doc_id NULLS LAST))
 SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, r = 1 AS kept, sha256(own) AS text_sha256 FROM ranked""",
+    "op4_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM g""",
+    "op6_top_inner_products": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
 }
