@@ -205,7 +205,7 @@ def near_components(values: DataFrame, rows: int, budget: int = BUDGET, block: i
     masks = F.array(*[F.lit(m).cast("long") for m in _masks(bits, budget)])
     left = blocks.select(F.col("cell").alias("lcell"), F.col("chunk").alias("lchunk"), F.col("fps").alias("left"), F.explode(masks).alias("mask"))
     left = left.withColumn("cell", F.col("lcell").bitwiseXOR(F.col("mask"))).where("cell >= lcell").drop("mask")
-    pairs = left.join(blocks.withColumnRenamed("fps", "right"), "cell").where("cell > lcell or chunk >= lchunk")
+    pairs = left.hint("merge").join(blocks.withColumnRenamed("fps", "right"), "cell").where("cell > lcell or chunk >= lchunk")
     pairs = pairs.select("left", "right", ((F.col("cell") == F.col("lcell")) & (F.col("chunk") == F.col("lchunk"))).alias("same"))
     return components(pairs.mapInArrow(_links(budget), "a long, b long"), "simhash-links")
 

@@ -186,7 +186,7 @@ def top_inner_products(rows: DataFrame, vec_id: str = "vec_id", embedding: str =
     runs = max(1, -(-x_blocks // RUN))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     left = blocks.withColumn("run", F.pmod(F.xxhash64("band", "part"), F.lit(runs))).withColumn("chunk", each(q_blocks))
-    pairs = left.join(chunks.withColumn("run", each(runs)), ["chunk", "run"])
+    pairs = left.hint("merge").join(chunks.withColumn("run", each(runs)), ["chunk", "run"])
     pairs = pairs.where((F.col("floor") <= 0) | (F.sqrt(F.col("q_norm2")) * F.sqrt(F.col("x_norm2")) * 1.000001 + 1 >= F.col("floor")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
