@@ -6,8 +6,10 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as driver
+from scorefold.plans.oracle import SQL
+from scorefold.plans.registry import QUERIES
+
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
 # model fits are random; their invariants are in test_clustering
 FITTED = {
     "kmeans_risk", "kmeans_readiness", "kmeans_subject", "kmeans_centres", "kmeans_evaluation", "k_sweep",
