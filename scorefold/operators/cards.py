@@ -9,6 +9,7 @@ from scorefold import labels
 from scorefold.functions import bands, text
 from scorefold.functions.casts import as_column, named, safe_double, safe_int, truncated_int
 
+MOST_PROFILES = 1000
 PROFILE_SCHEMA = (
     "cluster int, label string, risk string, color_tag string, badge_bg string, badge_fg string, icon string, "
     "gpa_range string, description string, reasons array<string>, suggestions array<string>"
@@ -24,8 +25,8 @@ def sanitize_student(df: DataFrame) -> DataFrame:
             "failed_subjects": truncated_int("failed_subjects"),
             "excellent_subjects": truncated_int("excellent_subjects"),
             "prediction": F.coalesce(
-                safe_int("prediction", None), F.lit(labels.DEFAULT_CLUSTER).cast("bigint")
-            ).cast("int"),
+                safe_int("prediction", None).try_cast("int"), F.lit(labels.DEFAULT_CLUSTER)
+            ),
         }
     )
 
@@ -35,8 +36,13 @@ def profiles(spark, rows=None) -> DataFrame:
 
 
 def enrich_cluster(df: DataFrame, cluster: str = "prediction", rows=None, default: int = labels.DEFAULT_CLUSTER) -> DataFrame:
-    """Attach the profile of the row's cluster; an unknown id gets the default profile."""
+    """Attach the profile of the row's cluster; an unknown id gets the default profile.
+
+    rows are the profiles, at most MOST_PROFILES: they go to every task.
+    """
     rows = rows or labels.CLUSTER_PROFILES
+    if len(rows) > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} profiles")
     known = [r.cluster for r in rows]
     key = F.when(named(cluster).isin(known), named(cluster)).otherwise(default).cast("int")
     # one row per constant profile
@@ -90,15 +96,15 @@ def student_card(scored: DataFrame, total_subjects) -> DataFrame:
 def group_share(df: DataFrame, label: str) -> DataFrame:
     """Rows and percent per label, largest first."""
     groups = df.groupBy(named(label)).agg(F.count("*").alias("n"))
-    # the window sees one row per label, not per input row
-    everything = Window.partitionBy()
-    return groups.withColumn("percent", F.col("n") / F.sum("n").over(everything) * 100).orderBy(
+    # the total is one value that every task gets, however many labels there are
+    total = df.agg(F.count("*")).scalar()
+    return groups.withColumn("percent", F.col("n") / total * 100).orderBy(
         F.desc("n"), named(label)
     )
 
 
 def first_n(df: DataFrame, n: int, order_by: list) -> DataFrame:
-    """The first n rows of an order, numbered from 1; a top-n, not a full sort."""
+    """The first n rows of an order, numbered from 1; a top-n, not a full sort, for an n that one task can hold."""
     return df.orderBy(*order_by).limit(n).withColumn(
         "idx", F.row_number().over(Window.orderBy(*order_by))
     )

@@ -7,6 +7,7 @@ never on its number.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 from operator import add
 
@@ -25,6 +26,7 @@ from scorefold.functions.rules import lookup
 from scorefold.operators.schema import clean_features
 
 RAW, VECTOR = "raw_features", "features"
+log = logging.getLogger(__name__)
 
 
 # --- features ---------------------------------------------------------------
@@ -54,14 +56,15 @@ def vector_columns(df: DataFrame, names: list[str], vector: str = VECTOR) -> Dat
 
 # --- fitted models ----------------------------------------------------------
 
-def distinct_up_to(df: DataFrame, limit: int, probe: int = 10_000) -> int:
-    """min(number of distinct rows, limit).
+def distinct_up_to(df: DataFrame, limit: int) -> int:
+    """min(number of distinct rows, limit)."""
+    return df.distinct().limit(limit).count()
 
-    Enough distinct rows in a small prefix prove the answer; only a table that
-    may really have fewer is deduplicated as a whole.
-    """
-    seen = df.limit(probe).distinct().limit(limit).count()
-    return seen if seen >= limit else df.distinct().limit(limit).count()
+
+def _lowered(k: int, distinct: int) -> int:
+    if distinct < k:
+        log.warning("k lowered from %d to the %d distinct feature rows", k, distinct)
+    return min(k, distinct)
 
 
 def fit_clusters(
@@ -74,13 +77,13 @@ def fit_clusters(
 ) -> PipelineModel:
     """Fit assembly, optional scaling and KMeans as one model, so scoring scales as training did.
 
-    k is lowered to the number of distinct feature rows.
+    k is lowered to the number of distinct feature rows, with a warning in the log.
     """
     data = clean_features(df, feature_cols).select(*[named(c) for c in feature_cols])
     distinct = distinct_up_to(data, k)
     if distinct < 2:
         raise ValueError("clustering needs at least two distinct feature rows")
-    kmeans = KMeans(k=min(k, distinct), seed=seed, featuresCol=VECTOR, predictionCol=prediction_col)
+    kmeans = KMeans(k=_lowered(k, distinct), seed=seed, featuresCol=VECTOR, predictionCol=prediction_col)
     return Pipeline(stages=[*feature_stages(feature_cols, scale), kmeans]).fit(data)
 
 
@@ -106,6 +109,22 @@ def model_centres(model: PipelineModel) -> list[list[float]]:
     return [[float(v) for v in centre] for centre in model.stages[-1].clusterCenters()]
 
 
+def misplaced(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """One row: n rows, clusters in use, the sum of squared distances, and rows that another centre is nearer to."""
+    features, column = model_features(model), model.stages[-1].getPredictionCol()
+    names, centres = [f"__f{i}" for i in range(len(features))], model_centres(model)
+    vectors = model.transform(clean_features(df, features)).select(VECTOR, named(column).alias("__own"))
+    table = assign_fixed_centres(vector_columns(vectors, names), centres, names, "__nearest")
+    own = F
+    for i, centre in enumerate(centres):
+        own = own.when(F.col("__own") == i, _squared_distance(centre, names))
+    # vector arithmetic rounds differently, so a tie is not a fault
+    far = own > F.col("sq_dist") + 1e-6 * (1 + F.col("sq_dist"))
+    return table.agg(
+        F.count("*").alias("n"), F.count_distinct("__own").alias("clusters"), F.sum(own).alias("wcss"), F.count_if(far).alias("misplaced")
+    )
+
+
 def centres_frame(spark: SparkSession, centres: list[list[float]], feature_cols: list[str]) -> DataFrame:
     """One row per cluster: cluster and its centre in each feature."""
     schema = "cluster int, " + ", ".join(f"`{c}` double" for c in feature_cols)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorefold.operators.clustering import VECTOR, assemble, distinct_up_to
-from scorefold.session import durable
 
 METRICS_SCHEMA = "k int, wcss double, silhouette double"
 
@@ -28,14 +27,14 @@ def k_sweep(
     scale: bool = False,
     parallelism: int = 4,
 ) -> DataFrame:
-    """Fit every k and measure it; k stops at the number of distinct feature rows.
+    """Fit every k and measure it; k stops at the number of distinct feature rows: the table shows which were tried.
 
-    The vectors are written once to the shared folder and cached once for all
-    fits, so no fit recomputes the features or keeps a copy of its own, and a
-    lost executor costs a re-read.  `parallelism` fits run side by side, so the
-    small jobs of one fill the gaps of another.
+    The vectors are cached once for all fits, so no fit recomputes the features or
+    keeps a copy of its own; give a durable table, so that a lost executor costs a
+    re-read.  `parallelism` fits run side by side, so the small jobs of one fill
+    the gaps of another.
     """
-    vectors = durable(assemble(df, feature_cols, scale).select(VECTOR)).persist()
+    vectors = assemble(df, feature_cols, scale).select(VECTOR).persist()
     evaluator = ClusteringEvaluator(featuresCol=VECTOR, predictionCol="prediction")
 
     def measure(k: int) -> tuple[int, float, float]:

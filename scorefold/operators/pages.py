@@ -16,31 +16,61 @@ _HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</st
 
 
 def _entity_table() -> str:
-    return json.dumps({"&" + k: v for k, v in html.entities.html5.items() if k.endswith(";")})
+    return json.dumps({"&" + k: v for k, v in html.entities.html5.items()})
+
+
+def _old_names() -> str:
+    """The names that count without a semicolon, longest first, as alternatives."""
+    return "|".join(sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k)))
+
+
+def _windows_characters() -> str:
+    """What the numbers 128 to 159 mean: the characters of Windows-1252 where it has one."""
+    known = {str(n): bytes([n]).decode("cp1252", "ignore") for n in range(128, 160)}
+    return json.dumps({n: c or chr(int(n)) for n, c in known.items()})
 
 
 def decode_entities(text: Column) -> Column:
-    """Named and numeric character references -> characters; unknown ones stay as written."""
+    """Named and numeric character references -> characters as HTML defines them; unknown ones stay as written.
+
+    Old names count without a semicolon too, numbers may have leading zeros or no
+    semicolon, and a number that is no character gives the replacement character.
+    """
     table = F.from_json(F.lit(_entity_table()), "map<string,string>")
+    windows = F.from_json(F.lit(_windows_characters()), "map<string,string>")
 
     def character(code: Column) -> Column:
         valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        own = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        old = F.when(code.between(128, 159), F.element_at(windows, code.cast("string")))
+        return F.coalesce(old, own, F.lit("\ufffd"))
+
+    def number(digits: Column, base: int) -> Column:
+        """The value, or -1 for more digits than a character's number has."""
+        return F.when(F.length(digits) > 7, F.lit(-1)).otherwise(F.conv(digits, base, 10).cast("bigint"))
 
     def piece(p: Column) -> Column:
-        hexadecimal = F.regexp_extract(p, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
-        decimal = F.regexp_extract(p, "^&#([0-9]{1,7});$", 1)
+        hexadecimal = F.regexp_extract(p, "^&#[xX]0*([0-9A-Fa-f]+);?$", 1)
+        decimal = F.regexp_extract(p, "^&#0*([0-9]+);?$", 1)
+        old = F.regexp_extract(p, f"^&({_old_names()})", 0)
         return F.coalesce(
-            F.when(hexadecimal != "", character(F.conv(hexadecimal, 16, 10).cast("bigint"))),
-            F.when(decimal != "", character(decimal.try_cast("bigint"))),
-            F.when(p.startswith("&"), F.element_at(table, p)),
+            F.when(~p.startswith("&"), p),
+            F.when(hexadecimal != "", character(number(hexadecimal, 16))),
+            F.when(decimal != "", character(number(decimal, 10))),
+            F.element_at(table, p),
+            F.when(old != "", F.concat(F.element_at(table, old), F.substr(p, F.length(old) + 1))),
             p,
         )
 
-    pieces = F.regexp_extract_all(text, F.lit(r"(&#?[0-9A-Za-z]+;|[^&]+|&)"), F.lit(1))
+    pieces = F.regexp_extract_all(text, F.lit(r"(&(?:#[xX][0-9A-Fa-f]+|#[0-9]+|[0-9A-Za-z]+);?|[^&]+|&)"), F.lit(1))
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
 
 
+def _literal(value: str) -> str:
+    """The characters of value as a pattern."""
+    return r"\Q" + value.replace(r"\E", r"\E\\E\Q") + r"\E"
+
+
 def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
@@ -48,6 +78,7 @@ def _trimmed(text: Column) -> Column:
 def extract_headings(pages: DataFrame, tag: str = "h3", html: str = "html") -> DataFrame:
     """Add `headings`, the non-blank texts of a tag in page order, and `n_headings`."""
     visible = F.regexp_replace(named(html), _HIDDEN, "")
+    tag = _literal(tag)
     inner = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), F.lit(1))
     texts = F.transform(inner, lambda t: _trimmed(decode_entities(F.regexp_replace(t, "(?s)<[^>]*>", ""))))
     found = pages.withColumn("headings", F.filter(texts, lambda t: t != ""))
@@ -58,13 +89,14 @@ def has_marker(
     pages: DataFrame, tag: str = "script", attribute: str = "id", value: str = labels.PAYLOAD_SCRIPT_ID, html: str = "html"
 ) -> DataFrame:
     """Add `has_marker`: the page holds a tag with that attribute value."""
+    tag, attribute, value = map(_literal, (tag, attribute, value))
     pattern = rf"(?is)<{tag}\s(?:[^>]*\s)?{attribute}\s*=\s*[\"']?{value}[\"'\s>]"
     return pages.withColumn("has_marker", named(html).rlike(pattern))
 
 
 def payload_values(pages: DataFrame, key: str = "title", sample: int = 3, html: str = "html") -> DataFrame:
     """Add all `"key": "value"` values in page order, their number, and the first few distinct ones."""
-    values = F.regexp_extract_all(named(html), F.lit(rf'"{key}"\s*:\s*"([^"]+)"'), F.lit(1))
+    values = F.regexp_extract_all(named(html), F.lit(rf'"{_literal(key)}"\s*:\s*"([^"]+)"'), F.lit(1))
     found = pages.withColumn("payload", values)
     return found.withColumns(
         {

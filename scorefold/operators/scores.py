@@ -95,12 +95,14 @@ def student_features_rowwise(
     fail_lt: float = 4,
     excellent_ge: float = 8,
     fill_std: float | None = 0.0,
+    group: bool = False,
 ) -> DataFrame:
     """The four features from a wide row, without a shuffle.
 
     The defaults are the scoring variant: population spread, counts on the raw
     score, and a missing score lowers the GPA but counts neither as failed nor
-    as excellent.  counts="scaled" counts on the 4-point scale instead.
+    as excellent.  counts="scaled" counts on the 4-point scale instead.  group puts
+    the rows of one student together, as a long table would; it shuffles the sums.
     """
     ids = [named(c) for c in id_cols if c in wide.columns]
     codes = score_cols or columns_except(wide, [*id_cols, *non_score_cols])
@@ -126,12 +128,20 @@ def student_features_rowwise(
         F.expr(f"CAST({failed} AS BIGINT)").alias("failed_subjects"),
         F.expr(f"CAST({excellent} AS BIGINT)").alias("excellent_subjects"),
     )
+    count = F.lit(n)
+    if group:
+        key, *others = [c for c in id_cols if c in wide.columns]
+        added = ["s1", "s2", "failed_subjects", "excellent_subjects"]
+        sums = sums.groupBy(named(key)).agg(
+            *[F.max(named(c)).alias(c) for c in others], *[F.sum(c).alias(c) for c in added], F.count("*").alias("__rows")
+        )
+        count = n * F.col("__rows")
     # 4-point values are multiples of one half, so s1, s2 and n*s2 - s1*s1 are exact
-    spread2 = F.greatest(F.lit(0.0), F.lit(n) * F.col("s2") - F.col("s1") * F.col("s1"))
-    degrees = {"population": n * n, "sample": n * (n - 1)}[std]
-    deviation = F.sqrt(spread2 / degrees) if degrees else F.lit(fill_std).cast("double")
+    spread2 = F.greatest(F.lit(0.0), count * F.col("s2") - F.col("s1") * F.col("s1"))
+    degrees = {"population": count * count, "sample": count * (count - 1)}[std]
+    deviation = F.coalesce(F.sqrt(F.try_divide(spread2, degrees)), F.lit(fill_std).cast("double"))
     return sums.select(
-        *ids, (F.col("s1") / n).alias("gpa"), deviation.alias("std_score"), "failed_subjects", "excellent_subjects"
+        *ids, (F.col("s1") / count).alias("gpa"), deviation.alias("std_score"), "failed_subjects", "excellent_subjects"
     )
 
 

@@ -10,7 +10,8 @@ import re
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorefold.functions.casts import as_column, named
@@ -65,10 +66,17 @@ def matches(value: Column | str, keyword: str, mode: str = "regex") -> Column:
     text = as_column(value).cast("string")
     if mode == "literal":
         return F.lower(text).contains(keyword.lower())
-    re.compile(keyword)  # a broken pattern fails here, not in the middle of a job
     return text.rlike("(?iu)" + keyword)
 
 
+def check_pattern(spark: SparkSession, keyword: str) -> None:
+    """Raise ValueError for a pattern that Spark cannot read, before a job starts."""
+    try:
+        spark.range(1).select(F.lit("").rlike("(?iu)" + keyword)).collect()
+    except PySparkException as error:
+        raise ValueError(f"not a pattern: {keyword}") from error
+
+
 def search_any(
     df: DataFrame,
     keyword: str,
@@ -80,6 +88,8 @@ def search_any(
     """Rows where any column matches; an empty keyword keeps all rows."""
     keyword = keyword.strip()
     if keyword:
+        if mode == "regex":
+            check_pattern(df.sparkSession, keyword)
         df = df.filter(_any([matches(c, keyword, mode) for c in columns or df.columns]))
     return _page(df, limit, order_by)
 
@@ -95,6 +105,8 @@ def search_subjects(
 ) -> DataFrame:
     """Distinct (MaMH, TenMH) whose code or name matches, with the title to show."""
     keyword = keyword.strip()
+    if keyword and mode == "regex":
+        check_pattern(stats.sparkSession, keyword)
     found = stats.select("MaMH", "TenMH")
     found = found.filter(matches("TenMH", keyword, mode) | matches("MaMH", keyword, mode)) if keyword else found.limit(0)
     return _page(found.distinct(), limit, ["MaMH", "TenMH"]).withColumn("title", subject_title())

@@ -61,7 +61,7 @@ def subject_stats(
         spread.alias("SD"),
         *shares,
         (missing if missing is not None else 100.0 * lost / F.sum(n)).alias("MTC%"),
-        F.percentile(x, 0.5, n).alias("TV"),
+        F.percentile(x, 0.5, n).alias("TV"),  # holds a subject's distinct scores: a few hundred on a marking scale
     )
 
 
@@ -91,13 +91,14 @@ def analysed_columns(labelled: DataFrame) -> DataFrame:
 
 
 def dedupe_last(df: DataFrame, key: str, order_by: str) -> DataFrame:
-    """One row per key, the one with the greatest order_by.
+    """One row per key, the one with the greatest order_by; null comes before all values.
 
-    max_by combines before the shuffle; a row_number per key would sort a hot
-    key's rows in one task.
+    Among equals the row with the greatest other columns, from the left, so a rerun
+    keeps the same one.  max combines before the shuffle; a row_number per key would
+    sort a hot key's rows in one task.
     """
     others = [c for c in df.columns if c != key]
-    last = F.max_by(F.struct(*[named(c) for c in others]), named(order_by)).alias("last")
+    last = F.max(F.struct(named(order_by).alias("__order"), *[named(c) for c in others])).alias("last")
     return df.groupBy(named(key)).agg(last).select(named(key), "last.*").select(*[named(c) for c in df.columns])
 
 
@@ -130,22 +131,15 @@ def _list_rows(subjects: DataFrame, by: str) -> DataFrame:
 
 
 def _with_headers(rows: DataFrame, headers: dict[int, str]) -> DataFrame:
-    """The rows plus one header per priority they hold, from one pass over them.
-
-    The second grouping set leaves each task as at most one row per priority.
-    """
-    keys = ["priority", "MaMH", "sort_name", "item"]
-    grouped = rows.groupingSets([keys, ["priority"]], *keys).agg((1 - F.grouping("MaMH")).alias("is_detail"))
+    """All the rows, equal ones too, plus one header per priority they hold."""
     header = F
     for priority, text in headers.items():
         header = header.when(F.col("priority") == priority, "  " + text)
-    return grouped.select(
-        "priority",
-        "is_detail",
-        F.coalesce("sort_name", F.lit("")).alias("sort_name"),
-        "MaMH",
-        F.when(F.col("is_detail") == 1, F.col("item")).otherwise(header).alias("item"),
+    # leaves each task as at most one row per priority
+    shown = rows.select("priority").distinct().select(
+        "priority", F.lit(0).alias("is_detail"), F.lit("").alias("sort_name"), F.lit(None).cast("string").alias("MaMH"), header.alias("item")
     )
+    return rows.withColumn("is_detail", F.lit(1)).select(*LIST_ORDER, "item").unionByName(shown)
 
 
 def grouped_list(subjects: DataFrame, headers: dict[int, str] | None = labels.LIST_HEADERS) -> DataFrame:

@@ -68,6 +68,7 @@ def analyze_students(
     """
     if model is None and centres is None:
         model, _ = train_readiness(wide, k=k)
+    # the search reads the student's own columns, so it comes before all other work
     found = label_readiness(readiness_table(student_search(wide, keyword)), model, centres)
     if jobs is None:
         return found.withColumn("top_matched_jobs", F.lit(None).cast("string"))

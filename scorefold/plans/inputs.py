@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from scorefold import labels
 from scorefold.operators.scores import pivot_scores
+from scorefold.operators.search import filter_codes
 from scorefold.operators.subjects import subject_stats
 
 # brand number (from 1) -> subject code: the mapped subjects and two others
@@ -53,7 +54,7 @@ def scores_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg((F.avg(points) / 10.0).alias("diem"))
         .select(
             F.col("o_custkey").alias("ma_sv"),
-            F.element_at(F.lit(SUBJECT_CODES), F.substring("p_brand", 7, 2).cast("int")).alias("ma_mon"),
+            F.get(F.lit(SUBJECT_CODES), F.substring("p_brand", 7, 2).try_cast("int") - 1).alias("ma_mon"),
             "diem",
         )
     )
@@ -72,14 +73,17 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("ma_sv", "ho_ten", *SUBJECT_CODES, toeic.alias("TOEIC"))
 
 
-def subject_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ma_mon, TenMH, x, n): how often each subject got x of 100 points.
+def subject_points(spark: SparkSession, sf_dir: str, codes: DataFrame | None = None) -> DataFrame:
+    """(ma_mon, TenMH, x, n): how often each subject got x of 100 points; of the parts in codes only, if given.
 
     Results are counted per (part, quantity) before the join with part, so a
     part with a third of all rows reaches it as 50 rows.
     """
+    lines = table(spark, sf_dir, "lineitem")
+    if codes is not None:
+        lines = filter_codes(lines, codes, "l_partkey")
     counts = (
-        table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_quantity").agg(F.count("*").alias("n"))
+        lines.groupBy("l_partkey", "l_quantity").agg(F.count("*").alias("n"))
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     x = F.least(F.lit(100).cast("bigint"), F.col("l_quantity").cast("bigint") + 10 * (F.col("p_size") % 8))
@@ -92,9 +96,9 @@ def subject_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 POINT_CUTS = (("A+%", 90), ("A%", 85), ("B%", 70), ("C%", 55), ("D%", 40))
 
 
-def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The subject statistics table: MaMH, TenMH and the ten numeric columns."""
-    points = subject_points(spark, sf_dir)
+def stats(spark: SparkSession, sf_dir: str, codes: DataFrame | None = None) -> DataFrame:
+    """The subject statistics table: MaMH, TenMH and the ten numeric columns; a choice of codes is made on the rows."""
+    points = subject_points(spark, sf_dir, codes)
     base = subject_stats(points, "ma_mon", "x", "n", POINT_CUTS, missing=F.lit(0.0), name="TenMH")
     return base.select(
         F.col("MaMH").cast("string").alias("MaMH"),

@@ -345,44 +345,6 @@ def headings(tag: str) -> str:
 select page_id, cast(len(hs) as integer) as n_headings, array_to_string(hs, chr(10)) as headings from found"""
 
 
-def digest(key: str, *more: str) -> str:
-    return "md5('42|' || " + " || '|' || ".join([key, *more]) + ")"
-
-
-def uniform(h: str, word: int) -> str:
-    return f"((cast(('0x' || substr({h}, {8 * word + 1}, 8)) as bigint) + 0.5::double) / 4294967296.0::double)"
-
-
-def normal(h: str) -> str:
-    return f"(sqrt(-2.0::double * ln({uniform(h, 0)})) * cos(6.283185307179586::double * {uniform(h, 1)}))"
-
-
-COHORT_GROUP = "case when u < 0.2 then 'xuat_sac' when u < 0.5 then 'kha' when u < 0.8 then 'trung_binh' else 'nguy_hiem' end"
-GROUPED = f"""grouped as (
-  select c_custkey, {COHORT_GROUP} as cohort_group
-  from (select c_custkey, {uniform(digest("c_custkey"), 0)} as u from customer)
-)"""
-GENERATED = f"""with {GROUPED}, drawn as (
-  select c_custkey, cohort_group, ma_mon, {digest("c_custkey", "ma_mon")} as h
-  from grouped cross join (select unnest([{", ".join(q(c) for c in labels.COHORT_SUBJECTS)}]) as ma_mon)
-), shaped as (
-  select *, {uniform("h", 2)} < 0.4 and cohort_group = 'nguy_hiem' as slips from drawn
-)
-select c_custkey, cohort_group, ma_mon, round(greatest(0.0::double, least(10.0::double,
-  (case when slips then 3.5 when cohort_group = 'xuat_sac' then 8.8 when cohort_group = 'kha' then 7.5
-        when cohort_group = 'trung_binh' then 6.0 else 5.0 end)::double
-  + (case when slips then 0.5 when cohort_group = 'xuat_sac' then 0.4 when cohort_group = 'kha' then 0.6
-          else 0.8 end)::double * {normal("h")})), 1) as diem from shaped"""
-GENERATED_TOEIC = f"""with {GROUPED}, drawn as (
-  select c_custkey, cohort_group, {digest("c_custkey", "'TOEIC'")} as h from grouped
-), points as (
-  select c_custkey, cohort_group, round_even(
-    (case cohort_group when 'xuat_sac' then 700 when 'kha' then 550 when 'trung_binh' then 450 else 350 end)::double
-    + (case cohort_group when 'xuat_sac' then 100 when 'kha' then 80 when 'trung_binh' then 70 else 60 end)::double
-      * {normal("h")}, 0) as p from drawn
-)
-select c_custkey, cohort_group, cast(greatest(200, least(990, round_even(p / 5.0::double, 0) * 5)) as integer) as "TOEIC" from points"""
-
 PHRASED = """phrased as (
   select page_id, html || ' tìm thấy ' || page_id || ' KẾT QUẢ, ' || length(url) || 'kết quả, ' || length(html) || '  Việc Làm' as html
   from pages
@@ -407,12 +369,28 @@ select ma_sv, max(c_name) as ho_ten, avg(h) as gpa, {rnd(f"{std}(h)", 6)} as std
 from (select *, {h4("diem")} as h from grid) left join customer on c_custkey = ma_sv group by 1"""
 
 
+TRAINED = wide_grid("stddev_samp", "h < 1", "h >= 3.5")
+MAPPED = list(dict.fromkeys(c for codes in labels.CAREER_FIELDS.values() for c in codes))
+# student, name, TOEIC and scores; scaled scores, field GPAs and their mean; cluster, rank, group and report
+ANALYSED_COLUMNS = 3 + len(inputs.SUBJECT_CODES) + len(MAPPED) + len(FIELDS) + 1 + 4
+
+
+def scripts() -> str:
+    found = " union all ".join(
+        f"select page_id, {q(p)} as pattern, regexp_extract_all(html, {q(p)}, 1) as hits from pages"
+        for p in (r"track\((\d+)\)", r"<!-- ad (\d+) -->")
+    )
+    return f"""with found as ({found})
+select page_id, pattern, cast(i - 1 as integer) as pos, hits[i] as value
+from (select *, unnest(generate_series(1, len(hits))) as i from found)"""
+
+
 SQL: dict[str, str] = {
     "csv_scores_roundtrip": f"with {COHORT} select * from cohort",
     "csv_stats_roundtrip": f"with {STATS} select * from stats",
-    "detect_delimiter": "select 'scores' as name, ';' as separator union all select 'stats', ','",
-    "market_roundtrip": f"""with {MARKET} select "Category", "Role", count(*) as n, cast(sum({SAFE_INT}) as bigint) as jobs
-        from market group by 1, 2""",
+    "detect_delimiter": f"""with {COHORT}, {STATS} select 'scores' as name, ';' as separator, count(*) as n from cohort
+        union all select 'stats', ',', count(*) from stats""",
+    "market_roundtrip": f"with {MARKET} select * from market",
     "market_flatten": """select o_custkey, 'IT' as "Category",
         case when o_custkey % 5 = 0 then 'IT' else o_orderstatus end as "Role", count(*) as "JobCount"
         from orders where o_orderpriority = '1-URGENT' group by 1, 2, 3""",
@@ -504,7 +482,7 @@ SQL: dict[str, str] = {
     "table_search_regex": f"""with {PART_SUBJECTS} select * from parts where regexp_matches("MaMH", '(?i)BOLT|conomy$|^4.$')
         or regexp_matches("TenMH", '(?i)BOLT|conomy$|^4.$') or regexp_matches(cast(p_size as varchar), '(?i)BOLT|conomy$|^4.$')
         or regexp_matches(p_type, '(?i)BOLT|conomy$|^4.$')""",
-    "table_search_literal": "select doc_id, source from documents where contains(lower(text), '(c)') or contains(lower(source), '(c)')",
+    "table_search_literal": "select doc_id, source from documents where contains(lower(text), '+1 (') or contains(lower(source), '+1 (')",
     "student_search": """select c_custkey as ma_sv, c_name as ho_ten from customer
         where contains(lower(cast(c_custkey as varchar)), 'r#00000000') or contains(lower(c_name), 'r#00000000')""",
     "filter_codes": f"with {SCORES} select * from scores where ma_mon in ({', '.join(q(c) for c in labels.CAREER_FIELDS['AI / Data Science'])})",
@@ -568,19 +546,44 @@ SQL: dict[str, str] = {
                  (select elbow_k from elbow) as elbow_k, (select k from scored order by score desc, k limit 1) as combined_k
         )
         select *, case when combined_k in (silhouette_k, elbow_k) then combined_k else silhouette_k end as optimal_k from best""",
-    "default_k": f"""with {METRICS}, numbered as (select k, row_number() over (order by k) - 1 as i, count(*) over () as n from metrics)
-        select k as default_k from numbered where i = n // 2""",
+    "default_k": f"""with {FEATURES}, d as (select count(*) as n from (select distinct {", ".join(labels.STUDENT_FEATURES)} from features)),
+        tried as (select k from range(2, {len(MORE_CENTRES)} + 1) r(k), d where k <= n),
+        numbered as (select k, row_number() over (order by k) - 1 as i, count(*) over () as c from tried)
+        select cast(k as integer) as default_k from numbered where i = c // 2""",
     "label_index": f"""with {READY}, sizes as (select nhom_san_sang, count(*) as n from ready group by 1), ranked as (
           select nhom_san_sang, cast(row_number() over (order by n desc, nhom_san_sang) - 1 as integer) as ml_label from sizes)
         select ma_sv, nhom_san_sang, ml_label from ready join ranked using (nhom_san_sang)""",
     "page_headings": headings("h1"),
     "page_link_texts": headings("a"),
-    "page_marker": """select page_id, contains(html, '__NEXT_DATA__') as has_payload, contains(html, '<html lang="en"') as has_marker from pages""",
+    "page_marker": """select page_id, contains(html, '__NEXT_DATA__') as has_payload, contains(html, '<div class="ad">') as has_advert, contains(html, '<html lang="en"') as has_marker from pages""",
     "page_payload_titles": """select page_id, 2 as n_payload, url || chr(10) || url as payload, url as payload_sample from pages""",
     "page_count_phrases": phrases(),
     "importance_top": f"""with {SCORES}, shares as (
           select ma_mon as subject, count(*) / (select count(*) from scores) as share from scores group by 1)
         select subject, {rnd("100 * share", 1)} as percent from shares where share > 0.01 order by percent desc, subject limit 10""",
-    "generate_scores": GENERATED,
-    "generate_toeic": GENERATED_TOEIC,
+    "page_scripts": scripts(),
+    "kmeans_risk": f"""with f as ({TRAINED}) select count(*) as students, cast(sum(failed_subjects) as bigint) as failed,
+        cast(sum(excellent_subjects) as bigint) as excellent, 2 as riskiest, count(*) as n, cast(4 as bigint) as clusters,
+        cast(0 as bigint) as misplaced, true as cost_agrees from f""",
+    "kmeans_readiness": f"""with {COHORT} select count(*) as students, cast(sum("TOEIC") as bigint) as toeic, count(*) as reports,
+        cast(3 as bigint) as groups, count(*) as n, cast(3 as bigint) as clusters, cast(0 as bigint) as misplaced, true as cost_agrees from cohort""",
+    "kmeans_subject": f"""with {STATS} select count(*) as subjects, count(*) as labelled,
+        count(*) filter (where {DIFFICULTY} = {q(labels.HARD)}) as hard, count(*) as n, cast(4 as bigint) as clusters,
+        cast(0 as bigint) as misplaced, true as cost_agrees from stats""",
+    "kmeans_centres": f"""with {STATS} """ + " union all ".join(
+        f"""select {q(c)} as feature, cast(4 as bigint) as centres, min("{c}") as least, max("{c}") as greatest, true as agrees from stats"""
+        for c in labels.SUBJECT_FEATURES),
+    "kmeans_evaluation": f"with f as ({TRAINED}) select count(*) as students, true as agrees, true as band_agrees from f",
+    "k_sweep": f"""with f as ({TRAINED}), d as (select count(*) as n from (select distinct {", ".join(labels.STUDENT_FEATURES)} from f))
+        select cast(k as integer) as k, true as below_single, true as silhouette_ok from range(2, 9) r(k), d where k <= n""",
+    "evaluation_data": f"""with {GPAS}, {STATS}, f as ({TRAINED})
+        select 'student' as kind, {len(labels.STUDENT_FEATURES)} as features, false as scaled, count(*) as n, {rnd("sum(gpa)", 4)} as first_sum from f
+        union all select 'readiness', {len(labels.READINESS_FEATURES)}, false, count(*), {rnd("sum(gpa_tong)", 4)} from gpas
+        union all select 'subject', {len(labels.SUBJECT_FEATURES)}, true, count(*), {rnd('sum("TB")', 4)} from stats""",
+    "career_no_match": f"""with {COHORT}, found as (select 'none' as search, count(*) filter (where contains(lower(ho_ten), 'no such student')) as n from cohort
+          union all select 'some', count(*) filter (where contains(lower(ho_ten), 'r#00000000')) from cohort)
+        select search, {ANALYSED_COLUMNS} as n_columns, n from found""",
+    "rf_importance": f"""select cast({len(MAPPED)} as bigint) as subjects, cast({len(MAPPED)} as bigint) as known, true as sums_to_one, true as not_negative
+        from (select count(*) as n from orders)""",
+    "model_roundtrip": f"""with f as ({TRAINED}) select count(*) as n, count(*) as same, cast(4 as bigint) as clusters, count(*) as unscored from f""",
 }

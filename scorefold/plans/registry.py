@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorefold import labels
 from scorefold.functions import bands, casts, rules, scale
 from scorefold.operators import (
-    cards, clustering, generate, importance, kselect, market, pages, schema, scores, search, subjects,
+    cards, clustering, importance, kselect, market, pages, schema, scores, search, subjects,
 )
-from scorefold.plans import career, inputs, students
+from scorefold.plans import career, inputs, students, training
 from scorefold.plans import subjects as subject_plans
 from scorefold.session import durable, scratch_path
 from scorefold.sources import market as market_source
@@ -69,6 +72,12 @@ def _parts(spark, d):
     )
 
 
+def _k_tried(spark, d) -> list[int]:
+    """The sizes that a sweep over the students would try: up to the number of distinct feature rows."""
+    most = clustering.distinct_up_to(_features(spark, d).select(labels.STUDENT_FEATURES), max(K_TRIED))
+    return [k for k in K_TRIED if k <= most]
+
+
 def _metrics(spark, d):
     """wcss and silhouette over the students for each prefix of the centres."""
     features = durable(_features(spark, d))
@@ -97,7 +106,7 @@ def csv_stats_roundtrip(spark, d):
     path = scratch_path(spark, "stats")
     named = inputs.stats(spark, d).withColumnsRenamed({"A+%": "A+ %", "F%": " F %"})
     tables.write_table(named, path, "csv")
-    return tables.read_subject_stats(spark, path)
+    return tables.read_subject_stats(spark, path)  # types follow from the header
 
 
 @query
@@ -105,18 +114,22 @@ def detect_delimiter(spark, d):
     scores_path, stats_path = scratch_path(spark, "cohort"), scratch_path(spark, "stats")
     tables.write_table(inputs.cohort(spark, d), scores_path, "csv", sep=";")
     tables.write_table(inputs.stats(spark, d), stats_path, "csv", sep=",")
-    found = tables.file_separators(spark, scores_path).select(F.lit("scores").alias("name"), "separator")
-    other = tables.file_separators(spark, stats_path).select(F.lit("stats").alias("name"), "separator")
-    return found.unionByName(other).distinct()
+    # the readers' own function, and what they make of the tables with it
+    found = None
+    shapes = {"scores": (scores_path, inputs.cohort(spark, d).schema), "stats": (stats_path, inputs.stats(spark, d).schema)}
+    for name, (path, shape) in shapes.items():
+        rows = tables.read_table(spark, path, shape).agg(
+            F.lit(name).alias("name"), F.lit(tables.detect_delimiter(spark, path)).alias("separator"), F.count("*").alias("n")
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 @query
 def market_roundtrip(spark, d):
     path = scratch_path(spark, "market")
     market_source.write_market(inputs.market(spark, d), path)
-    return market_source.read_market(spark, path).groupBy("Category", "Role").agg(
-        F.count("*").alias("n"), F.sum(casts.safe_int("JobCount")).alias("jobs")
-    )
+    return market_source.read_market(spark, path)
 
 
 @query
@@ -159,9 +172,12 @@ def display_columns(spark, d):
 
 @query
 def row_count(spark, d):
-    return inputs.scores_long(spark, d).agg(
-        F.count("*").alias("n"), F.count_distinct("ma_sv").alias("students"), F.count_distinct("ma_mon").alias("subjects")
-    )
+    """Rows of the kept table, and how many students and subjects they name."""
+    kept, n = tables.keep(inputs.scores_long(spark, d))
+    # one count of distinct values at a time: several in one aggregate would multiply the rows
+    students_n = kept.select("ma_sv").distinct().agg(F.count("*").alias("students"))
+    subjects_n = kept.select("ma_mon").distinct().agg(F.count("*")).scalar()
+    return students_n.select(F.lit(n).cast("bigint").alias("n"), "students", subjects_n.alias("subjects"))
 
 
 @query
@@ -346,8 +362,8 @@ def subject_analysis_rule(spark, d):
 
 @query
 def subject_analysis_selected(spark, d):
-    chosen = _parts(spark, d).filter("p_type = 'PROMO'").select("MaMH")
-    return _analysed(spark, d, codes=chosen, quality="collapsed")
+    chosen = inputs.table(spark, d, "part").filter("p_type = 'PROMO'").select("p_partkey")
+    return subject_plans.analyze_subjects(inputs.stats(spark, d, chosen), centres=SUBJECT_CENTRES, quality="collapsed")
 
 
 @query
@@ -439,7 +455,7 @@ def table_search_regex(spark, d):
 @query
 def table_search_literal(spark, d):
     documents = inputs.table(spark, d, "documents").select("doc_id", "text", "source")
-    return search.search_any(documents, "(C)", ["text", "source"], mode="literal").select("doc_id", "source")
+    return search.search_any(documents, "+1 (", ["text", "source"], mode="literal").select("doc_id", "source")
 
 
 @query
@@ -603,7 +619,7 @@ def choose_k(spark, d):
 
 @query
 def default_k(spark, d):
-    return kselect.default_k(_metrics(spark, d))
+    return kselect.default_k(spark.createDataFrame([(k,) for k in _k_tried(spark, d)], "k int"))
 
 
 @query
@@ -630,7 +646,8 @@ def page_link_texts(spark, d):
 def page_marker(spark, d):
     found = inputs.table(spark, d, "pages")
     payload = pages.has_marker(found).withColumnRenamed("has_marker", "has_payload")
-    return pages.has_marker(payload, "html", "lang", "en").select("page_id", "has_payload", "has_marker")
+    advert = pages.has_marker(payload, "div", "class", "ad").withColumnRenamed("has_marker", "has_advert")
+    return pages.has_marker(advert, "html", "lang", "en").select("page_id", "has_payload", "has_advert", "has_marker")
 
 
 @query
@@ -646,6 +663,12 @@ def page_payload_titles(spark, d):
     )
 
 
+@query
+def page_scripts(spark, d):
+    """Calls and advert numbers that the pages themselves state."""
+    return pages.count_phrases(inputs.table(spark, d, "pages"), (r"track\((\d+)\)", r"<!-- ad (\d+) -->"))
+
+
 @query
 def page_count_phrases(spark, d):
     """Result counts stated in the pages: one phrase per page is added to its text."""
@@ -657,62 +680,143 @@ def page_count_phrases(spark, d):
     return pages.count_phrases(table)
 
 
-# --- generated and fitted ---------------------------------------------------
+# --- fitted -----------------------------------------------------------------
+# A fit's numbers depend on its random start, so these queries return what must hold for any
+# good fit: counts and sums of the rows that went through it, and checks of the fit itself.
 
-@query
-def generate_scores(spark, d):
-    return generate.generate_scores(inputs.table(spark, d, "customer"), "c_custkey")
+def _fit_checks(model, features) -> DataFrame:
+    """Rows, clusters in use, rows that another centre is nearer to, and whether the training cost is the sum of squares."""
+    cost = model.stages[-1].summary.trainingCost
+    checks = clustering.misplaced(model, features)
+    same = F.abs(F.col("wcss") - cost) <= 0.01 * F.greatest(F.lit(1.0), F.lit(cost))
+    return checks.select("n", "clusters", "misplaced", same.alias("cost_agrees"))
 
 
 @query
-def generate_toeic(spark, d):
-    grouped = generate.with_group(inputs.table(spark, d, "customer").select("c_custkey"), "c_custkey")
-    return generate.generate_toeic(grouped, "c_custkey")
+def kmeans_risk(spark, d):
+    """Students by fitted risk group: their number and summed counts, the groups, and the fit's checks."""
+    features = durable(students.risk_features(inputs.cohort(spark, d)))
+    model = clustering.fit_clusters(features, labels.STUDENT_FEATURES, 4, 1)
+    clustering.check_feature_count(model, labels.STUDENT_FEATURES)
+    ranked = students.order_by_risk(
+        clustering.apply_clusters(model, features).withColumnRenamed("prediction", "cluster"), clustering.model_centres(model), "cluster"
+    )
+    # the profile of the riskiest group comes first, and its students have the lowest mean GPA
+    groups = ranked.groupBy("prediction").agg(F.avg("gpa").alias("mean"), F.count("*").alias("n"), F.sum("failed_subjects").alias("f"),
+                                              F.sum("excellent_subjects").alias("e"))
+    riskiest = F.min_by("prediction", "mean").alias("riskiest")
+    facts = groups.agg(F.sum("n").alias("students"), F.sum("f").alias("failed"), F.sum("e").alias("excellent"), riskiest)
+    return _together(facts, _fit_checks(model, features))
 
 
-@query
-def kmeans_risk(spark, d):
-    wide = durable(inputs.cohort(spark, d))
-    model, _, _ = students.train_risk(wide, k=4)
-    return students.score_risk(wide, model)
+def _together(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two single rows side by side."""
+    return one.select("*", other.select(F.struct("*").alias("__o")).scalar().alias("__o")).select(*one.columns, "__o.*")
 
 
 @query
 def kmeans_readiness(spark, d):
+    """Students by fitted readiness group and with their market report, and the fit's checks."""
     wide = durable(inputs.cohort(spark, d))
-    return career.analyze_students(wide, inputs.market(spark, d)).select(
-        "ma_sv", "gpa_tong", "TOEIC", "nhom_san_sang", "top_matched_jobs"
+    model, _ = career.train_readiness(wide, k=3)
+    out = career.analyze_students(wide, inputs.market(spark, d), model=model)
+    groups = out.groupBy("nhom_san_sang").agg(
+        F.count("*").alias("n"), F.sum("TOEIC").alias("t"), F.count_if(F.col("top_matched_jobs").isNotNull()).alias("r"), F.avg("gpa_tong").alias("gpa")
     )
+    facts = groups.agg(F.sum("n").alias("students"), F.sum("t").cast("bigint").alias("toeic"), F.sum("r").alias("reports"), F.count("*").alias("groups"))
+    return _together(facts, _fit_checks(model, career.readiness_table(wide)))
 
 
 @query
 def kmeans_subject(spark, d):
+    """Subjects by difficulty, all with one of the four quality labels of the fitted clusters, and the fit's checks."""
     stats = durable(inputs.stats(spark, d))
     model, _ = subject_plans.train_subject_quality(stats)
-    return subject_plans.analyze_subjects(stats, model=model)
+    analysed = subject_plans.analyze_subjects(stats, model=model)
+    facts = analysed.agg(
+        F.count("*").alias("subjects"), F.count_if(F.col("ChatLuong").isin(labels.SUBJECT_CLUSTER_LABELS)).alias("labelled"),
+        F.count_if(F.col("DoKho") == labels.HARD).alias("hard"),
+    )
+    return _together(facts, _fit_checks(model, stats))
 
 
 @query
 def kmeans_centres(spark, d):
+    """Per feature: the number of centres, and whether their mean, weighted by cluster size, is the feature's mean."""
     stats = durable(inputs.stats(spark, d))
+    features = labels.SUBJECT_FEATURES
     model, _ = subject_plans.train_subject_quality(stats)
-    return clustering.centres_long(spark, clustering.model_centres(model), labels.SUBJECT_FEATURES)
+    centres = clustering.centres_long(spark, clustering.model_centres(model), features)
+    sizes = clustering.apply_clusters(model, stats).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
+    # centres are scaled by the features' deviations
+    scales = dict(zip(features, (float(x) for x in model.stages[1].std)))
+    spread = F.element_at(F.create_map(*[F.lit(x) for pair in scales.items() for x in pair]), F.col("feature"))
+    means = centres.join(sizes, "cluster").groupBy("feature").agg(
+        F.count("*").alias("centres"), (F.sum(F.col("value") * F.col("n") * spread) / F.sum("n")).alias("mean")
+    )
+    values = stats.unpivot(["MaMH"], [casts.named(c) for c in features], "feature", "x")
+    true_means = values.groupBy("feature").agg(F.avg("x").alias("m"), F.min("x").alias("least"), F.max("x").alias("greatest"))
+    agrees = F.abs(F.col("mean") - F.col("m")) <= 0.02 * spread + 1e-9
+    return means.join(true_means, "feature").select("feature", "centres", "least", "greatest", agrees.alias("agrees"))
 
 
 @query
 def kmeans_evaluation(spark, d):
-    _, _, report = students.train_risk(inputs.cohort(spark, d), k=4)
-    return report
+    """The report of a fitted model against the silhouette computed row by row."""
+    features = durable(students.risk_features(inputs.cohort(spark, d)))
+    model = clustering.fit_clusters(features, labels.STUDENT_FEATURES, 4, 1)
+    clusters, report = clustering.evaluate_model(model, features)
+    own = clustering.silhouette(clusters, 4, labels.STUDENT_FEATURES, "prediction").agg(F.avg("silhouette").alias("s"), F.count("*").alias("students"))
+    close = F.abs(F.col("s") - F.col("silhouette")) < 1e-6
+    same_band = bands.silhouette_label("s") == F.col("band")
+    return _together(own, report).select("students", close.alias("agrees"), same_band.alias("band_agrees"))
 
 
 @query
 def k_sweep(spark, d):
-    return kselect.k_sweep(students.risk_features(inputs.cohort(spark, d)), labels.STUDENT_FEATURES, 2, 8)
+    """Every tried k: whether its cost lies under that of a single cluster and its silhouette is one."""
+    features = durable(students.risk_features(inputs.cohort(spark, d)))
+    metrics = kselect.k_sweep(features, labels.STUDENT_FEATURES, 2, 8)
+    total = reduce(add, [F.var_pop(c) * F.count(c) for c in labels.STUDENT_FEATURES])
+    single = features.agg(total).scalar()
+    inside = F.col("silhouette").between(-1.0, 1.0)
+    return metrics.select("k", (F.col("wcss") < single).alias("below_single"), inside.alias("silhouette_ok"))
+
+
+@query
+def evaluation_data(spark, d):
+    """What each kind of model is fitted on: rows, features and sums."""
+    cohort, stats = inputs.cohort(spark, d), inputs.stats(spark, d)
+    rows = None
+    for kind, table in (("student", cohort), ("readiness", cohort), ("subject", stats)):
+        data, columns, scaled = training.evaluation_data(kind, table)
+        data = schema.clean_features(data, columns)
+        one = data.agg(F.lit(kind).alias("kind"), F.lit(len(columns)).alias("features"), F.lit(scaled).alias("scaled"), F.count("*").alias("n"),
+                       F.round(F.sum(casts.named(columns[0])), 4).alias("first_sum"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+@query
+def career_no_match(spark, d):
+    """The empty-input guard: a search without a match still gives all columns, here counted beside a search with matches."""
+    cohort = inputs.cohort(spark, d)
+    rows = None
+    for name, keyword in (("none", "no such student"), ("some", "R#00000000")):
+        found = career.analyze_students(cohort, keyword=keyword, centres=READINESS_CENTRES)
+        one = found.agg(F.lit(name).alias("search"), F.lit(len(found.columns)).alias("n_columns"), F.count("*").alias("n"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 @query
 def rf_importance(spark, d):
-    return importance.feature_importance(durable(_ready(spark, d)))
+    """Importances of all scaled subject columns: their number, and whether they are shares of one."""
+    ready = durable(_ready(spark, d).select("nhom_san_sang", *schema.columns_between(scores.field_gpa(inputs.scores_wide(spark, d)))))
+    found = importance.feature_importance(ready, min_importance=-1.0, top=len(ready.columns))
+    total = F.abs(F.sum("percent") - 100) <= 0.05 * F.count("*")
+    known = F.count_if(F.col("subject").isin(inputs.SUBJECT_CODES)).alias("known")
+    return found.agg(F.count("*").alias("subjects"), known, total.alias("sums_to_one"), F.min(F.col("percent") >= 0).alias("not_negative"))
 
 
 @query
@@ -730,7 +834,14 @@ def model_roundtrip(spark, d):
     model = clustering.fit_clusters(features, labels.STUDENT_FEATURES, 4, 1)
     path = scratch_path(spark, "model")
     models.save_model(model, path)
+    absent = scratch_path(spark, "absent")
     loaded = models.load_or(path)
+    fitted = models.load_or(absent, "fit", lambda: model)
+    passed = models.load_or(absent, "passthrough")
     before = clustering.apply_clusters(model, features).withColumnRenamed("prediction", "before")
-    both = clustering.apply_clusters(loaded, before)
-    return both.groupBy("prediction").agg(F.count("*").alias("n"), F.count_if(F.col("before") == F.col("prediction")).alias("same"))
+    both = clustering.apply_clusters(loaded, before).withColumnRenamed("prediction", "loaded")
+    both = clustering.apply_clusters(fitted, both)
+    same = F.count_if((F.col("before") == F.col("loaded")) & (F.col("before") == F.col("prediction"))).alias("same")
+    # without a model, scoring hands its input back
+    unscored = students.score_risk(features, passed).agg(F.count("*")).scalar()
+    return both.agg(F.count("*").alias("n"), same, F.count_distinct("loaded").alias("clusters")).withColumn("unscored", unscored)

@@ -16,9 +16,9 @@ RISK_COLUMNS = ["ma_sv", "ho_ten", *labels.STUDENT_FEATURES, "prediction"]
 
 
 def risk_features(wide: DataFrame, variant: str = "trained", score_cols: list[str] | None = None) -> DataFrame:
-    """The four features as training defines them, or by the raw-score variant ("rowwise")."""
+    """The four features as training defines them, per student, or by row in the raw-score variant ("rowwise")."""
     if variant == "trained":
-        return scores.student_features_wide(wide, score_cols)
+        return scores.student_features_wide(wide, score_cols, group=True)
     if variant == "rowwise":
         return scores.student_features_rowwise(wide, score_cols)
     raise ValueError(f"unknown feature variant: {variant}")

@@ -40,7 +40,7 @@ def evaluation_data(kind: Kind | str, df: DataFrame) -> tuple[DataFrame, list[st
 def evaluate_k(kind: Kind | str, df: DataFrame, k_min: int = 2, k_max: int = 8, seed: int = 42) -> DataFrame:
     """The metrics table behind the choice of k, on the features training uses."""
     data, columns, scale = evaluation_data(kind, df)
-    return kselect.k_sweep(data, columns, k_min, k_max, seed, scale)
+    return kselect.k_sweep(durable(clustering.clean_features(data, columns).select(columns)), columns, k_min, k_max, seed, scale)
 
 
 def train(kind: Kind | str, df: DataFrame, k: int, path: str | None = None) -> PipelineModel:

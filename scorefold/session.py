@@ -49,10 +49,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it from there on.
+    """Write df once to the shared folder, as Parquet, and read it from there on.
 
     For inputs that several jobs read again (model fits, sweeps): the lineage is
-    cut, and a lost executor costs a re-read instead of a recompute.
+    cut, a lost executor costs a re-read instead of a recompute, and each job
+    reads the columns it needs.  The folder belongs to the job: delete it with
+    the job's other files in the shared folder.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "durable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from scorefold import labels
+from scorefold.functions.casts import named, quoted
 from scorefold.operators.schema import normalize_columns
 
+# quotes are doubled inside quoted fields, and outer spaces belong to the value
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+EMPTY_MARK = "\x01"
+
 
 def _header_separator(line) -> Column:
     """`;` if the line holds more of them than commas, else `,`."""
@@ -18,22 +27,6 @@ def _header_separator(line) -> Column:
     return F.when(count(";") > count(","), ";").otherwise(",")
 
 
-def file_separators(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (file, separator) for every file of a path, from its first line.
-
-    A file's first line is the one whose block starts at 0; the reader hands
-    over the rows of such a block in file order.
-    """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("pos"),
-        "value",
-    )
-    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "pos").alias("line"))
-    return first.select("file", _header_separator(F.col("line")).alias("separator"))
-
-
 def detect_delimiter(spark: SparkSession, path: str) -> str:
     """The separator of a file, or of a folder whose files agree; `,` for an empty one."""
     first_line = spark.read.text(path).limit(1).select(_header_separator(F.col("value")).alias("s")).first()
@@ -41,33 +34,69 @@ def detect_delimiter(spark: SparkSession, path: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, sep: str | None = None, normalize: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    sep: str | None = None,
+    normalize: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """A CSV table with header; the separator is detected and header spaces are removed.
 
-    Give a schema for large inputs: inferring one reads the whole table first.
+    Columns are taken by their header names, in whatever order the file has them: the
+    result has the schema's columns, null where the file has none.  All files of a
+    folder must have one header; a file with another raises.  Without a schema types
+    are inferred, which reads the whole table first.  `multiline` allows line breaks
+    inside quoted fields, and makes each file one task.
     """
-    reader = spark.read.option("header", True).option("sep", sep or detect_delimiter(spark, path))
-    df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
-    return normalize_columns(df) if normalize else df
+    options = CSV_OPTIONS | {"sep": sep or detect_delimiter(spark, path), "multiLine": multiline}
+    if schema is None:
+        df = spark.read.options(**options, inferSchema=True).csv(path)
+        return normalize_columns(df) if normalize else df
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.options(**options).csv(path).columns  # reads one line
+    plain = [name.replace(" ", "") for name in header] if normalize else header
+    types = {field.name: field.dataType for field in wanted}
+    in_file = StructType([StructField(name, types.get(p, StringType())) for name, p in zip(header, plain)])
+    # a quoted empty field is an empty text, an unquoted one is null; Spark tells them apart by this mark only
+    df = spark.read.options(**options, enforceSchema=False, emptyValue=EMPTY_MARK).schema(in_file).csv(path)
+    texts = [c for c, t in df.dtypes if t == "string"]
+    df = df.withColumns({c: F.when(named(c) == EMPTY_MARK, "").otherwise(named(c)) for c in texts}) if texts else df
+    df = normalize_columns(df) if normalize else df
+    return df.select(
+        *[named(f.name) if f.name in plain else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted]
+    )
+
+
+def _header_schema(spark: SparkSession, path: str, sep: str, normalize: bool, text: set[str], whole: set[str]) -> StructType:
+    """Every column of the header: text, whole numbers, and doubles for the rest."""
+    names = spark.read.options(**CSV_OPTIONS, sep=sep).csv(path).columns
+    names = [n.replace(" ", "") for n in names] if normalize else names
+    return StructType.fromDDL(
+        ", ".join(f"{quoted(n)} {'string' if n in text else 'int' if n in whole else 'double'}" for n in names)
+    )
 
 
 def read_scores(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Wide student scores, separated by `;`."""
+    """Wide student scores, separated by `;`: texts, a whole TOEIC, and a double per subject."""
+    schema = schema or _header_schema(spark, path, ";", False, {"ma_sv", "ho_ten"}, {"TOEIC"})
     return read_table(spark, path, schema, sep=";", normalize=False)
 
 
 def read_subject_stats(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Subject statistics, separated by `,`; the code column is always text."""
-    df = read_table(spark, path, schema, sep=",")
-    return df.withColumn("MaMH", F.col("MaMH").cast("string")) if "MaMH" in df.columns else df
+    """Subject statistics, separated by `,`: numeric columns as doubles, all others, the code too, as text."""
+    if schema is None:
+        names = spark.read.options(**CSV_OPTIONS, sep=",").csv(path).columns
+        others = {n.replace(" ", "") for n in names} - set(labels.SUBJECT_NUMERIC) - set(labels.SUBJECT_FEATURES)
+        schema = _header_schema(spark, path, ",", True, others, set())
+    return read_table(spark, path, schema, sep=",")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",") -> None:
     """Write a result, replacing what the path holds; parquet unless CSV is asked for."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("sep", sep)
+        writer = writer.options(**CSV_OPTIONS, sep=sep)
     writer.format(fmt).save(path)
 
 

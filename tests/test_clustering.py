@@ -66,7 +66,7 @@ def test_distinct_up_to(spark):
     assert clustering.distinct_up_to(df, 5) == 5
     assert clustering.distinct_up_to(df, 50) == 7
     tail = spark.range(1000).select(F.when(F.col("id") > 900, F.col("id")).otherwise(0).alias("v")).coalesce(1)
-    assert clustering.distinct_up_to(tail, 50, probe=10) == 50
+    assert clustering.distinct_up_to(tail, 50) == 50
 
 
 def test_fixed_centres_against_numpy(blobs):
@@ -256,3 +256,21 @@ def test_training_by_kind(spark, sf_dir):
     assert training.evaluate_k("subject", stats, 2, 3).count() == 2
     with pytest.raises(ValueError):
         training.train("student_analysis", wide, 4)
+
+
+def test_lowered_k_is_logged(spark, caplog):
+    few = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0)], "x double, y double")
+    clustering.fit_clusters(few, XY, 5, 1)
+    assert "k lowered from 5 to the 2" in caplog.text
+
+
+def test_repeated_students_train_once(spark):
+    wide = spark.createDataFrame([("a", "n", 10.0, 4.0), ("a", "n", 2.0, None), ("b", "m", 7.0, 7.0)], "ma_sv string, ho_ten string, `1` double, `2` double")
+    got = {r["ma_sv"]: r for r in students.risk_features(wide).collect()}
+    assert len(got) == 2 and got["a"]["gpa"] == (4 + 1 + 0 + 0) / 4 and got["a"]["failed_subjects"] == 2
+    from scorefold.operators import scores
+
+    long = {r["ma_sv"]: r for r in scores.student_features(scores.unpivot_scores(wide)).collect()}
+    for k, r in got.items():
+        assert [r[c] for c in labels.STUDENT_FEATURES] == pytest.approx([long[k][c] for c in labels.STUDENT_FEATURES])
+

@@ -127,3 +127,13 @@ def test_hundreds_of_subjects(spark):
     for student, r in wide_features.items():
         assert r["gpa"] == long_features[student]["gpa"]
         assert r["failed_subjects"] == long_features[student]["failed_subjects"]
+
+
+def test_java_patterns(spark):
+    from scorefold.operators import search
+
+    df = spark.createDataFrame([("abc",), ("a1",)], "t string")
+    assert [r.t for r in search.search_any(df, r"^\p{L}+$").collect()] == ["abc"]
+    for broken in ("(?P<x>a)", "(", "[a"):
+        with pytest.raises(ValueError):
+            search.search_any(df, broken)

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from scorefold import labels
-from scorefold.operators import generate, pages, schema
-from scorefold.sources import tables
+from scorefold.operators import cards, generate, pages, schema
+from scorefold.sources import market, tables
 
 
 def write(tmp_path, name, text):
@@ -19,18 +19,11 @@ def test_detect_delimiter(spark, tmp_path, line, want):
     assert tables.detect_delimiter(spark, write(tmp_path, "t.csv", line)) == want
 
 
-def test_separators_per_file(spark, tmp_path):
-    write(tmp_path, "a.csv", "x;y;z\n1,2,3,4,5")
-    write(tmp_path, "b.csv", "x,y\n1;2;3;4")
-    got = {r["file"].rsplit("/")[-1]: r["separator"] for r in tables.file_separators(spark, str(tmp_path)).collect()}
-    assert got == {"a.csv": ";", "b.csv": ","}
-
-
 def test_read_table(spark, tmp_path):
     path = write(tmp_path, "s.csv", "MaMH, Ten MH,F %\n011,Toán,2.5\n12,,\n")
     df = tables.read_table(spark, path)
     assert df.columns == ["MaMH", "TenMH", "F%"]
-    assert [tuple(r) for r in tables.read_subject_stats(spark, path).collect()] == [("11", "Toán", 2.5), ("12", None, None)]
+    assert [tuple(r) for r in tables.read_subject_stats(spark, path).collect()] == [("011", "Toán", 2.5), ("12", None, None)]
     typed = tables.read_table(spark, path, "MaMH string, TenMH string, `F%` double")
     assert typed.first()["MaMH"] == "011"
     scores = tables.read_scores(spark, write(tmp_path, "w.csv", "ma_sv;ho_ten;17\nSV1;An;7.5\n"))
@@ -107,3 +100,60 @@ def test_cohort_distribution(spark):
         assert got[name]["m"] == pytest.approx(mean, abs=0.05) and got[name]["s"] == pytest.approx(sd, abs=0.05)
     assert got["nguy_hiem"]["m"] == pytest.approx(0.4 * 3.5 + 0.6 * 5.0, abs=0.05)
     assert min(r["low"] for r in got.values()) >= 0 and max(r["high"] for r in got.values()) <= 10
+
+
+def test_columns_by_header_name(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    for end in ("\n", "\r\n"):
+        path.write_bytes(end.join(['﻿Role,Category,JobCount', '"C++ ""senior"", lead","IT"," 7 "', '"two\nlines",IT,3', '  out ,"",', ""]).encode())
+        got = sorted(map(tuple, market.read_market(spark, str(path)).collect()), key=str)
+        assert got == sorted([("IT", 'C++ "senior", lead', " 7 "), ("IT", "two\nlines", "3"), ("", "  out ", None)], key=str)
+    scores = tmp_path / "s.csv"
+    scores.write_text("ma_sv;b;a\n01;2.5;9\n")
+    assert [tuple(r) for r in tables.read_table(spark, str(scores), "a double, ma_sv string, b double, c int").collect()] == [(9.0, "01", 2.5, None)]
+    assert tables.read_scores(spark, str(scores)).dtypes == [("ma_sv", "string"), ("b", "double"), ("a", "double")]
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n")
+    (folder / "2.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        tables.read_table(spark, str(folder), "a int, b int").collect()
+
+
+def test_codes_and_spaces_survive(spark, tmp_path):
+    rows = [("01101", ' "q" ', 1.0), ("1E3", "", 2.0), ("7", None, None), ("8", "a\\b,c", 3.0)]
+    df = spark.createDataFrame(rows, "MaMH string, TenMH string, TB double")
+    tables.write_table(df, str(tmp_path / "t"), "csv")
+    assert sorted(map(tuple, tables.read_subject_stats(spark, str(tmp_path / "t")).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_market_counts_and_broken_documents(spark):
+    texts = [
+        '{"data":[{"name":"IT","job_count":"3","roles":[]}]}', '{"data":[{"name":"IT","roles":[{"name":"a","job_count":3.0},{"name":"b","job_count":"x"}]}]}',
+        None, '{"data":[{"name":"IT","job_count":4}]}', '{"data": [',
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, json string")
+    got = sorted(map(tuple, market.flatten_market(df, keep=["i"], broken="skip").collect()))
+    assert got == [(0, "IT", "IT", 3), (1, "IT", "a", 3), (1, "IT", "b", 0), (3, "IT", "IT", 4)]
+    assert [r.i for r in market.broken_documents(df).collect()] == [4]
+    with pytest.raises(Exception, match="not a market document"):
+        market.flatten_market(df).collect()
+
+
+def test_references_as_html_defines_them(spark):
+    texts = ["&copy 5", "&#150;", "&#x0000041;", "&notit;", "&amp;lt;", "&#0;&#55296;&#99999999;", "&#65", "&nosuch;", "a & b", "&AMPx", "&#x;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    import html
+
+    assert [r[0] for r in df.coalesce(1).select(pages.decode_entities(df["t"])).collect()] == [html.unescape(t) for t in texts]
+    page = spark.createDataFrame([("<i id='aXb'><h.3>x</h.3><hx3>y</hx3>",)], "html string")
+    assert not pages.has_marker(page, "i", "id", "a.b").first()["has_marker"]
+    assert pages.extract_headings(page, "h.3").first()["headings"] == ["x"]
+
+
+def test_numbers_that_are_none(spark):
+    df = spark.createDataFrame([("NaN", "9999999999"), ("1.5", "3"), (None, "x")], "gpa string, prediction string")
+    df = df.selectExpr("gpa", "gpa std_score", "gpa failed_subjects", "gpa excellent_subjects", "prediction")
+    rows = cards.sanitize_student(df).collect()
+    assert [r.gpa for r in rows] == [0.0, 1.5, 0.0] and rows[1].prediction == 3 and rows[0].prediction == rows[2].prediction
+    assert [r.gpa for r in schema.clean_features(df.select("gpa"), ["gpa"]).collect()] == [0.0, 1.5, 0.0]

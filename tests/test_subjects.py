@@ -176,3 +176,13 @@ def test_selection(spark):
     chosen = spark.createDataFrame([("1", "a")], "MaMH string, TenMH string")
     picked = spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "b")], "MaMH string, TenMH string")
     assert sorted(r["MaMH"] for r in search.add_selection(chosen, picked).collect()) == ["1", "2"]
+
+
+def test_equal_entries_and_null_orders_stay(spark):
+    rows = [("1", "A", labels.QUALITY_STABLE)] * 2 + [("2", "B", labels.QUALITY_STABLE)]
+    df = spark.createDataFrame(rows, "MaMH string, TenMH string, ChatLuong string")
+    for out in (subjects.grouped_list(df), subjects.filter_subject_list(df)):
+        assert out.filter("is_detail = 1").count() == 3 and out.filter("is_detail = 0").count() == 1
+    assert subjects.filter_subject_list(df, "a").count() == 2
+    last = spark.createDataFrame([("k", None, "a"), ("n", 1, "b"), ("n", None, "c"), ("n", 1, "d")], "key string, at int, v string")
+    assert sorted(map(tuple, subjects.dedupe_last(last, "key", "at").collect())) == [("k", None, "a"), ("n", 1, "d")]
