@@ -99,7 +99,8 @@ def slots(quotas: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("source_key").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("source_key", "stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ranked"))
     within = Window.partitionBy("source_key", "stretch").orderBy("slot")
-    return points.join(starts, ["source_key", "stretch"]).select(
+    # Spark takes exploded rows for as few as before; the hint keeps it from sending them to every task
+    return points.hint("merge").join(starts, ["source_key", "stretch"]).select(
         "slot", "source_key", (F.col("ranked") + F.row_number().over(within) - 1).alias("rank")
     )
 
@@ -154,7 +155,7 @@ def mix(
         .withColumn("length", F.expr(f"least(end, (rank + 1) * {block_words})") - F.col("from"))
         .select("source_key", "rank", "source", "uid", "doc_id", "epoch", (F.col("from") - F.col("begin")).alias("start"), "length")
     )
-    schedule = schedule_slots.join(parts, ["source_key", "rank"]).select(
+    schedule = schedule_slots.hint("merge").join(parts, ["source_key", "rank"]).select(
         "slot", "source", "uid", "doc_id", "epoch", "start", "length"
     )
     documents = sized.join(sources.select("source_key", "source_size", "target"), "source_key").select(
