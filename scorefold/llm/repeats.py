@@ -155,7 +155,8 @@ def _windows(min_words: int, seed: int):
 def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, seed: int = SEED) -> DataFrame:
     """doc_id, first_word, words, other_doc_id: the passages that other documents have too, disjoint in each document.
 
-    other_doc_id is the smallest id of another document that has part of the passage.
+    other_doc_id is the smallest id among the other documents that its matches were found with;
+    a document that has only part of a wider match may go unnamed.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text")).where("doc_id is not null")
     kept = written(own.mapInArrow(_kept(min_words, seed), "doc_id long, at int, start int, end int, seed long, around long"), "repeats-suffixes")
