@@ -178,14 +178,8 @@ def wcss(assigned: DataFrame, cluster_col: str = "cluster") -> DataFrame:
     return assigned.groupBy(named(cluster_col)).agg(F.count("*").alias("n"), F.sum("sq_dist").alias("wcss"))
 
 
-def silhouette(assigned: DataFrame, k: int, feature_cols: list[str], cluster_col: str = "cluster") -> DataFrame:
-    """Add each row's silhouette for squared Euclidean distance.
-
-    The mean squared distance from x to a cluster needs only that cluster's
-    count, coordinate sums and sum of squared norms.  One aggregation makes
-    these for all k clusters; a scalar subquery hands them to every task, so no
-    pair of rows is ever formed.  A row alone in its cluster gets 0.
-    """
+def cluster_sums(k: int, feature_cols: list[str], cluster_col: str = "cluster") -> Column:
+    """An aggregate: count, sum of squared norms and coordinate sums of the clusters 0..k-1, as one struct."""
     norm = reduce(add, [named(c) * named(c) for c in feature_cols])
     own = named(cluster_col)
     stats = []
@@ -198,7 +192,23 @@ def silhouette(assigned: DataFrame, k: int, feature_cols: list[str], cluster_col
                 *[F.sum(F.when(inside, named(c))).alias(f"y{i}") for i, c in enumerate(feature_cols)],
             ).alias(f"c{j}")
         )
-    summary = assigned.agg(*stats).select(F.struct(*[f"c{j}" for j in range(k)]).alias("s")).scalar()
+    return F.struct(*stats)
+
+
+def silhouette(
+    assigned: DataFrame, k: int, feature_cols: list[str], cluster_col: str = "cluster", sums: Column | None = None
+) -> DataFrame:
+    """Add each row's silhouette for squared Euclidean distance.
+
+    The mean squared distance from x to a cluster needs only that cluster's
+    count, coordinate sums and sum of squared norms.  One aggregation makes
+    these for all k clusters; a scalar subquery hands them to every task, so no
+    pair of rows is ever formed.  A row alone in its cluster gets 0.  sums are the
+    cluster_sums, if a column holds them already.
+    """
+    norm = reduce(add, [named(c) * named(c) for c in feature_cols])
+    own = named(cluster_col)
+    summary = assigned.agg(cluster_sums(k, feature_cols, cluster_col).alias("s")).scalar() if sums is None else sums
 
     table = assigned.withColumns({"__norm": norm, "__s": summary})
     means = {}

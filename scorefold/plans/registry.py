@@ -79,16 +79,24 @@ def _k_tried(spark, d) -> list[int]:
 
 
 def _metrics(spark, d):
-    """wcss and silhouette over the students for each prefix of the centres."""
-    features = durable(_features(spark, d))
-    rows = None
+    """wcss and silhouette over the students for each prefix of the centres.
+
+    All prefixes are assigned in one projection; their cluster sums are one aggregate,
+    the silhouettes another, so the features are read twice.
+    """
+    table = durable(_features(spark, d))
     for k in K_TRIED:
-        assigned = clustering.assign_fixed_centres(features, MORE_CENTRES[:k], labels.STUDENT_FEATURES)
-        measured = clustering.silhouette(assigned, k, labels.STUDENT_FEATURES).agg(
-            F.lit(k).alias("k"), F.sum("sq_dist").alias("wcss"), F.avg("silhouette").alias("silhouette")
-        )
-        rows = measured if rows is None else rows.unionByName(measured)
-    return durable(rows)
+        table = clustering.assign_fixed_centres(table, MORE_CENTRES[:k], labels.STUDENT_FEATURES, f"cluster_{k}")
+        table = table.withColumnRenamed("sq_dist", f"sq_dist_{k}")
+    sums = [clustering.cluster_sums(k, labels.STUDENT_FEATURES, f"cluster_{k}").alias(f"k{k}") for k in K_TRIED]
+    table = table.withColumn("__sums", table.agg(F.struct(*sums).alias("s")).scalar())
+    for k in K_TRIED:
+        scored = clustering.silhouette(table, k, labels.STUDENT_FEATURES, f"cluster_{k}", F.col(f"__sums.k{k}"))
+        table = scored.withColumnRenamed("silhouette", f"silhouette_{k}")
+    rows = F.array(*[
+        F.struct(F.lit(k).alias("k"), F.sum(f"sq_dist_{k}").alias("wcss"), F.avg(f"silhouette_{k}").alias("silhouette")) for k in K_TRIED
+    ])
+    return durable(table.agg(rows.alias("rows")).select(F.inline("rows")))
 
 
 # --- sources and columns ----------------------------------------------------
