@@ -35,9 +35,11 @@ GROUP = 4096
 #: Bits for a sequence's number in its group.
 BIN_BITS = 20
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
-#: Pieces of text whose ids a worker remembers.
+#: Pieces of text whose ids a worker remembers, twice.
 REMEMBERED = 400_000
-_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Pre-tokens of pieces made of Latin letters, digits, ASCII marks and single line feeds (an apostrophe has rules of its own).
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[!-~À-ɏ])")
+_SPACE_BLANK = re.compile(r"\s ")
 
 
 class Ids:
@@ -55,29 +57,36 @@ class Ids:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.bytes_as_text = _byte_letters()
 
     def _new(self, piece: str) -> bytes:
-        if _WORD.fullmatch(piece):  # one pre-token, straight to the model
-            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes_as_text)
-            ids = [t.id for t in self.model.tokenize(letters.replace(" ", "Ġ"))]
-        else:
+        parts = _PLAIN.findall(piece)
+        if "".join(parts) != piece:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            return np.array(ids, "<u4").tobytes()
+        if len(parts) > 1:
+            return b"".join(map(self._piece, parts))
+        letters = piece.encode().decode("latin-1").translate(self.bytes_as_text)  # one pre-token, straight to the model
+        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.before.get(piece) or self._new(piece)
+            if len(piece) <= 64:
+                self.known[piece] = ids
+        return ids
 
     def of(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        known, out = self.known, []
-        if len(known) > REMEMBERED:
-            known.clear()
-        for piece in pieces(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self._new(piece)
-                if len(piece) <= 64:
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        parts = pieces(text)
+        found = list(map(self.known.get, parts))
+        if None in found:
+            found = [self._piece(part) if ids is None else ids for part, ids in zip(parts, found, strict=True)]
+        return b"".join(found)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -87,19 +96,19 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def pieces(text: str) -> Iterator[str]:
+def pieces(text: str) -> list[str]:
     """The text cut before every blank that follows a character other than white space."""
-    held = ""
-    for i, part in enumerate(text.split(" ")):
-        part = f" {part}" if i else part
-        if held and held[-1].isspace():
-            held += part
-            continue
-        if held:
-            yield held
-        held = part
-    if held:
-        yield held
+    first, *rest = text.split(" ")
+    rest = [f" {part}" for part in rest]
+    if not _SPACE_BLANK.search(text) and first:
+        return [first, *rest]
+    out = [first] if first else []
+    for part in rest:
+        if out and out[-1][-1].isspace():
+            out[-1] += part
+        else:
+            out.append(part)
+    return out
 
 
 @lru_cache(maxsize=4)
