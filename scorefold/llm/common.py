@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW = "__row"
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with a column that names each row, the same in every read of it.
+
+    Rows of Parquet files are named by the hash of their file's path and their place
+    in it, which needs no copy; any other table is written once with numbers.
+    """
+    if df._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation"):
+        try:
+            place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+            return df.select("*", place.alias(ROW))
+        except AnalysisException:
+            pass  # files of another format have no row_index
+    place = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))
+    return written(df.withColumn(ROW, place), name)
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id's text modulo divisor; a null id counts as empty text, which gives 0."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % divisor

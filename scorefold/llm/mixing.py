@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorefold.llm.common import WORD, written
+from scorefold.llm.common import ROW, WORD, numbered, written
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 256
@@ -177,15 +177,15 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_w
 
     A document that the end of its source's target cuts keeps the words before the cut.
     """
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    mixed = mix(rows, weights=weights, block_words=block_words, cap=cap, uid=F.col("__row"))
+    rows = numbered(docs, "mix-numbered")
+    mixed = mix(rows, weights=weights, block_words=block_words, cap=cap, uid=F.col(ROW))
     copies = mixed.schedule.groupBy("uid", "epoch").agg(F.sum("length").alias("__words"))
     sizes = mixed.documents.select("uid", "size")
-    kept = copies.join(sizes, "uid").select(F.col("uid").alias("__row"), "__words", F.col("size").alias("__size"))
+    kept = copies.join(sizes, "uid").select(F.col("uid").alias(ROW), "__words", F.col("size").alias("__size"))
     # pieces that each end with a word, so the first n pieces hold the first n words
     pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)
     cut = F.when(F.col("__words") < F.col("__size"), F.array_join(F.slice(pieces, F.lit(1), F.col("__words").cast("int")), "")).otherwise(F.col("text"))
-    out = rows.join(kept, "__row").withColumn("text", cut)
+    out = rows.join(kept, ROW).withColumn("text", cut)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__words") < F.col("__size"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorefold.llm.common import bits_for, texts, word_bytes, written
+from scorefold.llm.common import ROW, bits_for, numbered, texts, word_bytes, written
 from scorefold.llm.components import components
 
 SHINGLE = 3
@@ -69,7 +69,7 @@ def _fingerprints(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", uid: Column | None = None) -> DataFrame:
     """uid, doc_id, fp (the 64 bits as a long), one row per row of docs."""
     rows = docs.select((F.monotonically_increasing_id() if uid is None else uid).alias("uid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return rows.mapInArrow(_fingerprints, "uid long, doc_id long, fp long")
+    return rows.mapInArrow(_fingerprints, f"uid {dict(rows.dtypes)['uid']}, doc_id long, fp long")
 
 
 class _Trie:
@@ -228,6 +228,6 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bud
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
     """The rows of docs, one of every group of near copies (smallest id), with all their columns."""
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-numbered")
-    dropped = near_copies(rows, doc_id, text, budget, uid=F.col("__row")).where("not first").select(F.col("uid").alias("__row"))
-    return rows.join(dropped, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = numbered(docs, "simhash-numbered")
+    dropped = near_copies(rows, doc_id, text, budget, uid=F.col(ROW)).where("not first").select(F.col("uid").alias(ROW))
+    return rows.join(dropped, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
