@@ -74,9 +74,10 @@ def segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[
     hits: places and scores of the words that score more than the drift; every other
     word scores -drift.  After Ruzzo and Tompa: a list of candidate segments with the
     sums before and through each; a new one is joined with the last that starts lower
-    as long as its sum ends higher.
+    as long as its sum ends higher.  Each candidate keeps the place of the last one
+    before it that starts lower, so no search passes over the others again.
     """
-    found: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum through
+    found: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum through, place of the last that starts lower
     total, at = 0.0, 0
     for place, score in hits:
         total -= drift * (place - at)
@@ -85,17 +86,18 @@ def segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[
         total = right = total + score
         if score <= 0:
             continue
+        j = len(found) - 1
         while True:
-            # joined segments leave the list, so each is passed over a bounded number of times
-            j = len(found) - 1
+            # what a link passes over starts no lower than the candidate that it belongs to, so no later search looks at it
             while j >= 0 and found[j][2] >= left:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= right:
-                found.append((start, end, left, right))
+                found.append((start, end, left, right, j))
                 break
-            start, left = found[j][0], found[j][2]
+            start, left, before = found[j][0], found[j][2], found[j][4]
             del found[j:]
-    return [(a, b, right - left) for a, b, left, right in found]
+            j = before
+    return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
 class Scorer:

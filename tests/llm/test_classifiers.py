@@ -79,6 +79,31 @@ def test_segments_are_all_maximal():
         assert np.allclose([s for *_, s in got], [s for *_, s in expected])
 
 
+class Counted(float):
+    """A number that counts its comparisons."""
+
+    steps = 0
+
+    def __add__(self, other):
+        return Counted(float(self) + other)
+
+    __radd__ = __add__
+
+    def __sub__(self, other):
+        return Counted(float(self) - other)
+
+    def __ge__(self, other):
+        Counted.steps += 1
+        return float(self) >= other
+
+
+def test_segments_take_linear_steps():
+    """Isolated hits that the drift outweighs: each starts lower than all before it."""
+    Counted.steps = 0
+    got = toxicity.segments([(40 * i, Counted(1.0)) for i in range(2000)], 0.05)
+    assert len(got) == 2000 and 0 < Counted.steps <= 10_000
+
+
 def test_rate_solves_its_equation():
     s, p = np.array([0.0, 2.0, 3.5]), np.array([0.995, 0.003, 0.002])
     rate = toxicity.extreme_rate(s, p)
