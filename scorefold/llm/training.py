@@ -23,8 +23,8 @@ def training_sample(
     """doc_id, text, label of a bounded sample, and how many training labels each class has in all.
 
     Rows that are held out, have no id or no label are left out; of repeated labels
-    the largest counts.  The sample takes the smallest hashes of ids, so it is the
-    same in every run.
+    the largest counts, of repeated ids' texts the one with the smallest hash.  The
+    sample takes the smallest hashes of ids, so it is the same in every run.
     """
     all_labels = (
         labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -35,7 +35,9 @@ def training_sample(
     chosen = [all_labels.where(F.col("label") == x).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(per_class) for x in (0, 1)]
     ids = F.broadcast(chosen[0].union(chosen[1]))  # 2 * per_class rows at most
     texts = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return written(texts.join(ids, "doc_id"), f"sample-{label}"), sizes
+    order = F.struct(F.xxhash64("text").alias("hash"), F.col("text"))
+    rows = texts.join(ids, "doc_id").groupBy("doc_id").agg(F.min(order).alias("least"), F.first("label").alias("label"))
+    return written(rows.select("doc_id", F.col("least.text").alias("text"), "label"), f"sample-{label}"), sizes
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float, rounds: int = 50) -> np.ndarray:

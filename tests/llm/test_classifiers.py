@@ -5,7 +5,7 @@ import pytest
 from cases import make, remainder
 
 from scorefold.llm import quality, toxicity
-from scorefold.llm.training import logistic
+from scorefold.llm.training import logistic, training_sample
 
 
 def auc(scores, labels):
@@ -104,6 +104,16 @@ def test_segments_take_linear_steps():
     assert len(got) == 2000 and 0 < Counted.steps <= 10_000
 
 
+def test_sample_has_one_row_of_an_id(spark):
+    """An id with most of the rows counts once, always with the same text."""
+    rows = [(1, f"text {i}", *[None] * 9) for i in range(500)] + [(i, f"own {i}", *[None] * 9) for i in range(2, 40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    docs = make(spark, rows)
+    got = [training_sample(x, labels, "quality", 3, 1, 100)[0].collect() for x in (docs, docs.repartition(7))]
+    assert len(got[0]) == len({r.doc_id for r in got[0]}) and {r.doc_id for r in got[0]} == {i for i in range(1, 40) if remainder(i, 3) != 1}
+    assert {(r.doc_id, r.text, r.label) for r in got[0]} == {(r.doc_id, r.text, r.label) for r in got[1]}
+
+
 def test_rate_solves_its_equation():
     s, p = np.array([0.0, 2.0, 3.5]), np.array([0.995, 0.003, 0.002])
     rate = toxicity.extreme_rate(s, p)
