@@ -1,18 +1,18 @@
-"""Passages that documents share, by a sparse suffix array.
+"""Passages that documents share, by suffixes that are grouped by hashes.
 
 Of a document's suffixes only those are kept that start at minimisers: in every
 window of min_words words, the run of `seed` words with the smallest hash, the
 leftmost of equals.  The choice depends on the window's words only, so a passage of
 min_words words that two documents share has the same suffix kept in both.  The
-kept suffixes are ordered by their first words' hash and, within it, by the hash
-of their whole surroundings (as far as a window around the seed can reach), so
-equal ones are neighbours; runs of neighbours are compared as groups, which Spark
-sorts, splits and pre-aggregates, not pair by pair:
+kept suffixes are grouped by their first words' hash and, within it, by the hash
+of their whole surroundings (as far as a window around the seed can reach).  This
+replaces sorting suffixes, comparing neighbours and extending matches: Spark
+pre-aggregates and splits the groups, and nothing is compared pair by pair:
 
 * surroundings that two documents share are a match to their full width;
-* a seed that two documents share in different surroundings is extended to the
-  left and right word by word: each of the windows around it that has this
-  minimiser is looked up among those of the other documents.
+* a seed that two documents share in different surroundings: each of the windows
+  around it that has this minimiser is looked up, by its hash, among those of the
+  other documents.
 
 Matches of a document that overlap or touch become one passage.  A word belongs to
 a passage exactly if some min_words consecutive words around it occur in another
