@@ -1,8 +1,7 @@
 """Likelihood of texts summed over all segmentations of their words into subwords.
 
-The pieces of an existing vocabulary get weights from the training texts: from a
-first guess on a few words, one expectation step over every distinct training word
-gives the pieces' expected counts.  A word is a lattice: every way to spell a blank
+The pieces of an existing vocabulary get weights from the training texts: from
+equal weights on, every round of expectation goes over all distinct training words.  A word is a lattice: every way to spell a blank
 and the word by pieces is a path, a path's probability is the product of its
 pieces' weights, and a forward pass in log space adds up all paths (words so short
 that products cannot underflow are added up as plain numbers).  Only a word's first piece begins with a blank, so a
@@ -41,9 +40,8 @@ HEAD_WORDS = 300_000
 HOLD = 500_000
 #: Added to each piece's count; scores of words that a task remembers.
 PIECE_PRIOR = 0.01
-#: Words that the first guess of weights is made on, and its rounds.
-FIRST_WORDS = 20_000
-FIRST_ROUNDS = 4
+#: Rounds of expectation, each over all distinct words.
+ROUNDS = 5
 #: Bytes that cannot underflow as a plain product of piece weights.
 SHORT = 24
 REMEMBERED = 200_000
@@ -160,25 +158,17 @@ def _expected(guess: Pieces):
 def piece_weights(counts: DataFrame, pieces: list[bytes], prior: float = PIECE_PRIOR) -> np.ndarray:
     """Natural log weights of all pieces and, last, of the end.
 
-    Every distinct word counts once, as the pieces are for words that are rare or
-    new.  The first guess comes from a few rounds over FIRST_WORDS words; then one
-    expectation step goes over all words.
+    Every distinct word counts once, as the pieces are for words that are rare or new.
     """
-    few = [bytes(r.word) for r in counts.select("word").orderBy(F.xxhash64("word"), "word").limit(FIRST_WORDS).collect()]
     weights = None
-    for _ in range(FIRST_ROUNDS):
-        expected, guess = {}, Pieces(pieces, weights)
-        for word in few:
-            guess.expect(word, expected)
+    for _ in range(ROUNDS):
+        expected = counts.select("word").mapInArrow(_expected(Pieces(pieces, weights)), "piece int, n double")
+        rows = expected.groupBy("piece").agg(F.sum("n").alias("n")).toPandas()  # one row per piece
         n = np.zeros(len(pieces) + 1)
-        n[list(expected)] = list(expected.values())
+        n[rows["piece"].to_numpy(dtype=int)] = rows["n"].to_numpy()
         n[-1] = 1
         weights = weights_of(n, prior)
-    rows = counts.select("word").mapInArrow(_expected(Pieces(pieces, weights)), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()  # one row per piece
-    n = np.zeros(len(pieces) + 1)
-    n[rows["piece"].to_numpy(dtype=int)] = rows["n"].to_numpy()
-    n[-1] = 1
-    return weights_of(n, prior)
+    return weights
 
 
 def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:

@@ -52,6 +52,20 @@ def test_expected_counts():
     assert got.keys() == expected.keys() and all(math.isclose(got[i], expected[i], rel_tol=1e-9) for i in got)
 
 
+def test_weights_come_from_all_words_in_every_round(spark):
+    random = np.random.default_rng(4)
+    some = sorted({bytes(random.choice([97, 98], random.integers(14, 23), p=[0.6, 0.4]).astype("u1")) for _ in range(30_000)})
+    assert len(some) > 20_000
+    weights = None
+    for _ in range(5):
+        got, guess = {}, lattice.Pieces(VOCAB, weights)
+        for word in some:
+            guess.expect(word, got)
+        weights = lattice.weights_of(np.array([*[got.get(i, 0.0) for i in range(len(VOCAB))], 1.0]), lattice.PIECE_PRIOR)
+    counts = spark.createDataFrame([(bytearray(w), 1) for w in some], "word binary, c long")
+    assert np.allclose(lattice.piece_weights(counts, VOCAB), weights, rtol=0, atol=1e-9)
+
+
 def vocabulary(tmp_path):
     path = tmp_path / "pieces"
     path.write_bytes(b"\n".join(base64.b64encode(bytes([b])) + b" %d" % b for b in range(256)) + b"\n" + base64.b64encode(b"th") + b" 256\n")
