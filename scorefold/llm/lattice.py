@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -48,6 +49,13 @@ REMEMBERED = 200_000
 LOG10 = math.log(10)
 
 
+def _log_sum(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))."""
+    if b == -math.inf:
+        return a
+    return b if a == -math.inf else max(a, b) + math.log1p(math.exp(-abs(a - b)))
+
+
 class Pieces:
     """Pieces of a vocabulary file (base64 piece and number per line) with natural log weights; the end's is the last."""
 
@@ -62,9 +70,9 @@ class Pieces:
                 self.plain.setdefault(piece[:k], (0.0, -math.inf, -1))
             self.plain[piece] = (math.exp(log_weights[i]), float(log_weights[i]), i)
 
-    def _edges(self, data: bytes) -> Iterator[tuple[int, int, tuple[float, float, int]]]:
+    def _edges(self, data: bytes, backwards: bool = False) -> Iterator[tuple[int, int, tuple[float, float, int]]]:
         get, n = self.plain.get, len(data)
-        for i in range(n):
+        for i in reversed(range(n)) if backwards else range(n):
             for j in range(i + 1, n + 1):
                 found = get(data[i:j])
                 if found is None:
@@ -80,12 +88,15 @@ class Pieces:
             for i, j, (w, _, _) in self._edges(data):
                 sums[j] += sums[i] * w
             return math.log(sums[n]) if sums[n] > 0 else -math.inf
-        forward = [0.0, *[-math.inf] * n]
+        return self._forward(data)[n]
+
+    def _forward(self, data: bytes) -> array:
+        """Natural log of the summed probability of all segmentations of each beginning of data."""
+        forward = array("d", [-math.inf]) * (len(data) + 1)
+        forward[0] = 0.0
         for i, j, (_, w, _) in self._edges(data):
-            a, b = forward[j], forward[i] + w
-            if b > -math.inf:
-                forward[j] = b if a == -math.inf else max(a, b) + math.log1p(math.exp(-abs(a - b)))
-        return forward[n]
+            forward[j] = _log_sum(forward[j], forward[i] + w)
+        return forward
 
     def word(self, word: bytes) -> float:
         return self.spelled(b" " + word)
@@ -93,11 +104,10 @@ class Pieces:
     def expect(self, word: bytes, counts: dict[int, float]) -> None:
         """Add the expected number of each piece in a segmentation of the word to counts."""
         data = b" " + word
-        n, edges = len(data), list(self._edges(data))
-        if n > SHORT:  # in stretches: only counts are wanted, and very long words are rare
-            for at in range(0, len(word), SHORT - 1):
-                self.expect(word[at : at + SHORT - 1], counts)
+        if len(data) > SHORT:
+            self._expect_long(data, counts)
             return
+        n, edges = len(data), list(self._edges(data))
         forward, backward = [1.0, *[0.0] * n], [*[0.0] * n, 1.0]
         for i, j, (w, _, _) in edges:
             forward[j] += forward[i] * w
@@ -110,6 +120,19 @@ class Pieces:
             if share := forward[i] * w * backward[j] / whole:
                 counts[k] = counts.get(k, 0.0) + share
 
+    def _expect_long(self, data: bytes, counts: dict[int, float]) -> None:
+        """The same in log space, with the edges found again on the way back instead of kept."""
+        forward = self._forward(data)
+        whole = forward[-1]
+        if whole == -math.inf:
+            return
+        backward = array("d", [-math.inf]) * len(forward)
+        backward[-1] = 0.0
+        for i, j, (_, w, k) in self._edges(data, backwards=True):
+            backward[i] = _log_sum(backward[i], w + backward[j])
+            if share := math.exp(min(0.0, forward[i] + w + backward[j] - whole)):
+                counts[k] = counts.get(k, 0.0) + share
+
 
 def vocabulary(path: str) -> list[bytes]:
     """The pieces of a file by their numbers."""

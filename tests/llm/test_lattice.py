@@ -52,6 +52,18 @@ def test_expected_counts():
     assert got.keys() == expected.keys() and all(math.isclose(got[i], expected[i], rel_tol=1e-9) for i in got)
 
 
+@pytest.mark.parametrize("word", [b"ab" * 40, b"babba" * 9])
+def test_expected_counts_of_long_words(word):
+    model, w = pieces()
+    data, got, expected = b" " + word, {}, Counter()
+    for i in range(len(data)):
+        for k, p in enumerate(VOCAB):
+            if data.startswith(p, i):
+                expected[k] += spelled(data[:i], w) * w[k] * spelled(data[i + len(p) :], w) / spelled(data, w)
+    model.expect(word, got)
+    assert all(math.isclose(got.get(k, 0.0), n, rel_tol=1e-9) for k, n in expected.items() if n > 0)
+
+
 def test_weights_come_from_all_words_in_every_round(spark):
     random = np.random.default_rng(4)
     some = sorted({bytes(random.choice([97, 98], random.integers(14, 23), p=[0.6, 0.4]).astype("u1")) for _ in range(30_000)})
