@@ -39,6 +39,8 @@ from scorefold.llm.training import held_out
 #: Words that all tasks know at most; distinct words that a task counts before it passes them on.
 HEAD_WORDS = 300_000
 HOLD = 500_000
+#: Bytes of such a word at most; longer ones are joined.
+HEAD_BYTES = 64
 #: Added to each piece's count; scores of words that a task remembers.
 PIECE_PRIOR = 0.01
 #: Rounds of expectation, each over all distinct words.
@@ -195,7 +197,8 @@ def piece_weights(counts: DataFrame, pieces: list[bytes], prior: float = PIECE_P
 
 
 def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
-    """The words of the highest counts, at most so many: all words above one count."""
+    """The words of the highest counts, at most so many: all words above one count, of HEAD_BYTES at most."""
+    counts = counts.where(F.length("word") <= HEAD_BYTES)
     tiers = counts.groupBy(F.least("c", F.lit(1 << 16)).alias("c")).count().orderBy(F.desc("c")).collect()  # 65536 rows at most
     least, sum_ = None, 0
     for tier in tiers:

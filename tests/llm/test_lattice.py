@@ -110,6 +110,11 @@ def test_scores(spark, tmp_path, head):
     assert all(math.isclose(again[r.doc_id], r.score, rel_tol=1e-9) for r in rows if r.doc_id is not None)
 
 
+def test_head_has_no_long_words(spark):
+    counts = spark.createDataFrame([(bytearray(b"x" * n), 9) for n in (1, 64, 65, 100_000)], "word binary, c long")
+    assert sorted(map(len, lattice.head_of(counts, 10))) == [1, 64]
+
+
 def test_mixture_is_a_distribution():
     """Over all words the mixture sums to one less what longer words have."""
     model, w = pieces(2)
