@@ -31,6 +31,14 @@ CAREER_FIELDS = {
     "Core / Foundation": ["17206", "17232", "17302", "17301", "17303", "17104"],
 }
 DEFAULT_FIELD = "Core / Foundation"
+# The skills that stand for a field when jobs are matched.
+FIELD_SKILLS = {
+    "AI / Data Science": ["python", "machine learning", "data", "sql"],
+    "Web / Mobile Dev": ["javascript", "react", "html", "css", "node", "php"],
+    "Network / Security": ["network", "security", "aws", "docker"],
+    "Software Engineering": ["java", "c#", "c++", "oop", "sql", "git"],
+    "Core / Foundation": ["c", "linux", "system"],
+}
 
 # Role keywords, first matching field wins; no match means DEFAULT_FIELD.
 ROLE_KEYWORDS = (

@@ -122,6 +122,19 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# posting number modulo the list's length -> a skill the posting asks for
+SKILLS = [s for skills in labels.FIELD_SKILLS.values() for s in skills] + ["teamwork", "English", "Python 3", "c / c++"]
+
+
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job posting per part: posting, text (role and skills asked for; null for some)."""
+    key = F.col("p_partkey")
+    asked = [pick(SKILLS, key), pick(SKILLS, key * 7 + F.col("p_size")), pick(SKILLS, F.col("p_size") * 3), F.lit("teamwork")]
+    return table(spark, sf_dir, "part").select(
+        key.alias("posting"), F.when(key % 29 != 0, F.concat_ws(", ", pick(ROLES, key), F.col("p_type"), *asked)).alias("text")
+    )
+
+
 def market_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One market JSON document per customer: a category per order priority, a role per order status."""
     roles = (

@@ -385,7 +385,45 @@ select page_id, pattern, cast(i - 1 as integer) as pos, hits[i] as value
 from (select *, unnest(generate_series(1, len(hits))) as i from found)"""
 
 
+def _skills(field: str) -> str:
+    return q(", ".join(labels.FIELD_SKILLS[field]))
+
+
+_PICKED = ", ".join(map(q, inputs.SKILLS))
+POSTINGS = f"""postings as (
+  select p_partkey as posting, case when p_partkey % 29 <> 0 then concat_ws(', ', [{", ".join(map(q, inputs.ROLES))}][p_partkey % {len(inputs.ROLES)} + 1], p_type,
+    [{_PICKED}][p_partkey % {len(inputs.SKILLS)} + 1], [{_PICKED}][(p_partkey * 7 + p_size) % {len(inputs.SKILLS)} + 1],
+    [{_PICKED}][p_size * 3 % {len(inputs.SKILLS)} + 1], 'teamwork') end as text from part
+)"""
+
+
+def matched(k: int, least: float) -> str:
+    """Cosines of all pairs with a common term; seekers is (seeker, skills)."""
+    def bag(table: str, key: str, text: str) -> str:
+        return f"select {key} as id, term, count(*) as tf from (select {key}, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+[+#]*')) as term from {table}) group by all"
+
+    return f"""{POSTINGS}, jobs as ({bag("postings", "posting", "text")}), people as ({bag("texts", "skills", "skills")}),
+idf as (select term, ln((1.0 + (select count(*) from postings)) / (1.0 + count(*))) + 1.0 as idf from jobs group by 1),
+job_w as (select id, term, tf * idf as w from jobs join idf using (term)), people_w as (select id, term, tf * idf as w from people join idf using (term)),
+job_n as (select id, sqrt(sum(w * w)) as n from job_w group by 1), people_n as (select id, sqrt(sum(w * w)) as n from people_w group by 1),
+pairs as (
+  select p.id as skills, j.id as posting, {rnd("sum(p.w * j.w) / (any_value(pn.n) * any_value(jn.n))", 6)} as cosine
+  from people_w p join job_w j using (term) join people_n pn on pn.id = p.id join job_n jn on jn.id = j.id group by 1, 2),
+ranked as (
+  select skills, posting, cosine, cast(row_number() over (partition by skills order by cosine desc, posting) as integer) as rank from pairs where cosine >= {least} qualify rank <= {k})"""
+
+
+ABLE = ", ".join(f"case when {c} >= 2.5 then {_skills(f)} end" for f, c in zip(FIELDS, GPA_COLUMNS))
+SEEKERS = f"""seekers as (
+  select ma_sv, coalesce(nullif(concat_ws(', ', {ABLE}), ''), {cases([(f"best_field = {q(f)}", _skills(f)) for f in FIELDS], "null")}) as skills
+  from gpas join best using (ma_sv)
+), texts as (select distinct skills from seekers)"""
+
 SQL: dict[str, str] = {
+    "match_jobs_fields": f"""with {values("seekers", "field, skills", [(q(f), _skills(f)) for f in FIELDS])}, texts as (select skills from seekers), {matched(25, 0.2)}
+select field, rank, posting, cosine from seekers join ranked using (skills)""",
+    "match_jobs_students": f"""with {GPAS}, {BEST}, {SEEKERS}, {matched(5, 0.1)}
+select ma_sv, rank, posting, cosine from seekers join ranked using (skills)""",
     "csv_scores_roundtrip": f"with {COHORT} select * from cohort",
     "csv_stats_roundtrip": f"with {STATS} select * from stats",
     "detect_delimiter": f"""with {COHORT}, {STATS} select 'scores' as name, ';' as separator, count(*) as n from cohort

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scorefold import labels
 from scorefold.functions import bands, casts, rules, scale
 from scorefold.operators import (
-    cards, clustering, importance, kselect, market, pages, schema, scores, search, subjects,
+    cards, clustering, importance, kselect, market, matching, pages, schema, scores, search, subjects,
 )
 from scorefold.plans import career, inputs, students, training
 from scorefold.plans import subjects as subject_plans
@@ -529,6 +529,20 @@ def competitiveness_report(spark, d):
     return market.competitiveness_report(scored).select("ma_sv", "top_matched_jobs")
 
 
+@query
+def match_jobs_fields(spark, d):
+    """Postings for each career field's skills."""
+    fields = spark.createDataFrame([(f, ", ".join(s)) for f, s in labels.FIELD_SKILLS.items()], "field string, skills string")
+    return matching.match_jobs(fields, inputs.postings(spark, d), 25, 0.2, seeker="field")
+
+
+@query
+def match_jobs_students(spark, d):
+    """Postings for each student by the fields that they are good at."""
+    able = matching.skill_profile(market.best_field(_gpas(spark, d)))
+    return matching.match_jobs(able, inputs.postings(spark, d), 5)
+
+
 @query
 def career_analysis(spark, d):
     out = career.analyze_students(
