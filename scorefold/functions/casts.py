@@ -26,9 +26,8 @@ def as_column(value: Column | str) -> Column:
 
 
 def safe_double(value: Column | str, on_invalid: float | None = 0.0) -> Column:
-    """Double, with null, NaN and unparsable input replaced by on_invalid (None keeps null and NaN)."""
-    number = as_column(value).try_cast("double")
-    number = number if on_invalid is None else F.nanvl(number, F.lit(None).cast("double"))
+    """Double, with null, NaN and unparsable input replaced by on_invalid (None: null)."""
+    number = F.nanvl(as_column(value).try_cast("double"), F.lit(None).cast("double"))
     return number if on_invalid is None else F.coalesce(number, F.lit(on_invalid))
 
 

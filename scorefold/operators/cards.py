@@ -96,8 +96,8 @@ def student_card(scored: DataFrame, total_subjects) -> DataFrame:
 def group_share(df: DataFrame, label: str) -> DataFrame:
     """Rows and percent per label, largest first."""
     groups = df.groupBy(named(label)).agg(F.count("*").alias("n"))
-    # the total is one value that every task gets, however many labels there are
-    total = df.agg(F.count("*")).scalar()
+    # the total is one value that every task gets, however many labels there are; it adds up the same grouped rows
+    total = groups.agg(F.sum("n")).scalar()
     return groups.withColumn("percent", F.col("n") / total * 100).orderBy(
         F.desc("n"), named(label)
     )

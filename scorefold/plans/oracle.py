@@ -420,6 +420,12 @@ SEEKERS = f"""seekers as (
 ), texts as (select distinct skills from seekers)"""
 
 SQL: dict[str, str] = {
+    "load_report": f"""with {MARKET}, n as (
+  select count(*) as rows, count(*) filter (where "JobCount" is null) as nulls, count(try_cast(trim("JobCount") as double)) as numbers,
+         count(*) filter (where "Category" is null) as c, count(*) filter (where "Role" is null) as r from market)
+select 'Category' as column, rows, c as nulls, cast(null as bigint) as unparsable, cast(null as bigint) as numbers from n
+union all select 'Role', rows, r, null, null from n union all select 'JobCount', rows, nulls, rows - nulls - numbers, numbers from n""",
+    "market_replace": f"""with {MARKET} select * from market where "Category" = 'IT' and "JobCount" <> ''""",
     "match_jobs_fields": f"""with {values("seekers", "field, skills", [(q(f), _skills(f)) for f in FIELDS])}, texts as (select skills from seekers), {matched(25, 0.2)}
 select field, rank, posting, cosine from seekers join ranked using (skills)""",
     "match_jobs_students": f"""with {GPAS}, {BEST}, {SEEKERS}, {matched(5, 0.1)}

@@ -180,14 +180,32 @@ def display_columns(spark, d):
 
 @query
 def row_count(spark, d):
-    """Rows of the kept table, and how many students and subjects they name."""
-    kept, n = tables.keep(inputs.scores_long(spark, d))
+    """Rows of the written table, and how many students and subjects they name."""
+    kept, n = tables.counted(inputs.scores_long(spark, d))
     # one count of distinct values at a time: several in one aggregate would multiply the rows
     students_n = kept.select("ma_sv").distinct().agg(F.count("*").alias("students"))
     subjects_n = kept.select("ma_mon").distinct().agg(F.count("*")).scalar()
     return students_n.select(F.lit(n).cast("bigint").alias("n"), "students", subjects_n.alias("subjects"))
 
 
+@query
+def load_report(spark, d):
+    """Rows, nulls and unparsable texts of the market's columns, and how many counts were read as numbers."""
+    loaded, report = tables.load_typed(inputs.market(spark, d), {"JobCount": "double"})
+    numbers = loaded.agg(F.count("JobCount")).scalar()
+    return report.withColumn("numbers", F.when(F.col("column") == "JobCount", numbers))
+
+
+@query
+def market_replace(spark, d):
+    """The market file filtered and written back to the path that it was read from, twice."""
+    path = scratch_path(spark, "market")
+    market_source.write_market(inputs.market(spark, d), path)
+    for kept in (F.col("Category") == labels.MARKET_CATEGORY, F.col("JobCount") != ""):
+        market_source.write_market(market_source.read_market(spark, path).filter(kept), path)
+    return market_source.read_market(spark, path)
+
+
 @query
 def bounded_sample(spark, d):
     orders = inputs.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from scorefold import labels
-from scorefold.functions.casts import named, quoted
+from scorefold.functions.casts import named, quoted, safe_double, safe_int
 from scorefold.operators.schema import normalize_columns
+from scorefold.session import durable
+from scorefold.sources.versions import current, replace
 
 # quotes are doubled inside quoted fields, and outer spaces belong to the value
 CSV_OPTIONS = {
@@ -29,7 +31,7 @@ def _header_separator(line) -> Column:
 
 def detect_delimiter(spark: SparkSession, path: str) -> str:
     """The separator of a file, or of a folder whose files agree; `,` for an empty one."""
-    first_line = spark.read.text(path).limit(1).select(_header_separator(F.col("value")).alias("s")).first()
+    first_line = spark.read.text(current(spark, path)).limit(1).select(_header_separator(F.col("value")).alias("s")).first()
     return first_line["s"] if first_line else ","
 
 
@@ -49,6 +51,7 @@ def read_table(
     are inferred, which reads the whole table first.  `multiline` allows line breaks
     inside quoted fields, and makes each file one task.
     """
+    path = current(spark, path)
     options = CSV_OPTIONS | {"sep": sep or detect_delimiter(spark, path), "multiLine": multiline}
     if schema is None:
         df = spark.read.options(**options, inferSchema=True).csv(path)
@@ -70,7 +73,7 @@ def read_table(
 
 def _header_schema(spark: SparkSession, path: str, sep: str, normalize: bool, text: set[str], whole: set[str]) -> StructType:
     """Every column of the header: text, whole numbers, and doubles for the rest."""
-    names = spark.read.options(**CSV_OPTIONS, sep=sep).csv(path).columns
+    names = spark.read.options(**CSV_OPTIONS, sep=sep).csv(current(spark, path)).columns
     names = [n.replace(" ", "") for n in names] if normalize else names
     return StructType.fromDDL(
         ", ".join(f"{quoted(n)} {'string' if n in text else 'int' if n in whole else 'double'}" for n in names)
@@ -86,21 +89,49 @@ def read_scores(spark: SparkSession, path: str, schema: StructType | str | None
 def read_subject_stats(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Subject statistics, separated by `,`: numeric columns as doubles, all others, the code too, as text."""
     if schema is None:
-        names = spark.read.options(**CSV_OPTIONS, sep=",").csv(path).columns
+        names = spark.read.options(**CSV_OPTIONS, sep=",").csv(current(spark, path)).columns
         others = {n.replace(" ", "") for n in names} - set(labels.SUBJECT_NUMERIC) - set(labels.SUBJECT_FEATURES)
         schema = _header_schema(spark, path, ",", True, others, set())
     return read_table(spark, path, schema, sep=",")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",") -> None:
-    """Write a result, replacing what the path holds; parquet unless CSV is asked for."""
-    writer = df.write.mode("overwrite")
-    if fmt == "csv":
-        writer = writer.options(**CSV_OPTIONS, sep=sep)
-    writer.format(fmt).save(path)
+    """Write a result as the path's new version; parquet unless CSV is asked for.
+
+    The path may be the one that df reads.  Read it back with this module, or with
+    `versions.current`.
+    """
+
+    def write(place: str) -> None:
+        writer = df.write.options(**CSV_OPTIONS, sep=sep) if fmt == "csv" else df.write
+        writer.format(fmt).save(place)
+
+    replace(df.sparkSession, path, write)
 
 
-def keep(df: DataFrame) -> tuple[DataFrame, int]:
-    """The table kept in executor memory, or on their disks, and its row count."""
-    kept = df.persist()
-    return kept, kept.count()
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The table, written once to the shared folder, and its row count, taken while it was written."""
+    seen = Observation()
+    table = durable(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return table, int(seen.get.get("n", 0))
+
+
+def load_typed(raw: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Text columns as numbers ("double" or "bigint"), and what was found on the way.
+
+    The first result is raw with the named columns cast (null where a text is no number),
+    written once to the shared folder.  The second has, per column of raw: column, rows,
+    nulls, unparsable (texts that are no number, NaN among them; null for a column that is
+    not cast).  Both come from one pass over raw.
+    """
+    cast = {c: safe_double(c, None) if t == "double" else safe_int(c, None) for c, t in types.items()}
+    facts = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(raw.columns):
+        facts.append(F.count_if(named(c).isNull()).alias(f"nulls{i}"))
+        if c in cast:
+            facts.append(F.count_if(named(c).isNotNull() & cast[c].isNull()).alias(f"bad{i}"))
+    seen = Observation()
+    table = durable(raw.observe(seen, *facts).withColumns(cast))
+    found = seen.get
+    report = [(c, found.get("rows", 0), found.get(f"nulls{i}", 0), found.get(f"bad{i}", 0) if c in cast else None) for i, c in enumerate(raw.columns)]
+    return table, raw.sparkSession.createDataFrame(report, "column string, rows long, nulls long, unparsable long")

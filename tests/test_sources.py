@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from scorefold import labels
+from scorefold.functions import casts
 from scorefold.operators import cards, generate, pages, schema
-from scorefold.sources import market, tables
+from scorefold.sources import market, models, tables, versions
 
 
 def write(tmp_path, name, text):
@@ -30,10 +31,20 @@ def test_read_table(spark, tmp_path):
     assert tuple(scores.first()) == ("SV1", "An", 7.5)
 
 
-def test_keep(spark):
-    kept, n = tables.keep(spark.range(10))
-    assert n == 10 and kept.is_cached
-    kept.unpersist()
+def test_counted(spark):
+    kept, n = tables.counted(spark.range(10))
+    assert n == 10 and not kept.is_cached and kept.count() == 10
+    assert tables.counted(spark.range(0))[1] == 0
+
+
+def test_load_report_in_one_pass(spark):
+    rows = [("1.5", "7", None), ("NaN", "7.5", "a"), (None, " 8 ", "b"), ("x", None, None), ("", "9", "c")]
+    raw = spark.createDataFrame(rows, "a string, `b c` string, t string")
+    table, report = tables.load_typed(raw, {"a": "double", "b c": "bigint"})
+    assert sorted(map(tuple, table.collect()), key=str) == sorted([(1.5, 7, None), (None, None, "a"), (None, 8, "b"), (None, None, None), (None, 9, "c")], key=str)
+    assert {r.column: tuple(r)[1:] for r in report.collect()} == {"a": (5, 1, 3), "b c": (5, 1, 1), "t": (5, 2, None)}
+    none, report = tables.load_typed(raw.limit(0), {"a": "double"})
+    assert none.count() == 0 and [tuple(r)[1:] for r in report.collect()] == [(0, 0, 0), (0, 0, None), (0, 0, None)]
 
 
 def test_columns(spark):
@@ -157,3 +168,81 @@ def test_numbers_that_are_none(spark):
     rows = cards.sanitize_student(df).collect()
     assert [r.gpa for r in rows] == [0.0, 1.5, 0.0] and rows[1].prediction == 3 and rows[0].prediction == rows[2].prediction
     assert [r.gpa for r in schema.clean_features(df.select("gpa"), ["gpa"]).collect()] == [0.0, 1.5, 0.0]
+
+
+def test_nan_counts_as_missing(spark):
+    from scorefold.operators import subjects
+
+    stats = spark.createDataFrame([("1", "NaN", "20"), ("2", None, "20"), ("3", "9", "5")], "MaMH string, TB string, `F%` string")
+    got = {r.MaMH: (r.DoKho, r.XuHuong) for r in subjects.label_difficulty_and_trend(stats).collect()}
+    assert got["1"] == got["2"] != got["3"]
+    assert [r.x for r in spark.createDataFrame([("NaN",), ("2",)], "x string").select(casts.safe_double("x", None).alias("x")).collect()] == [None, 2.0]
+
+
+def test_a_path_may_be_replaced_by_what_was_read_from_it(spark, tmp_path):
+    """Plain files and folders, and versioned paths."""
+    plain = write(tmp_path, "jobs.csv", "Category,Role,JobCount\nIT,a,1\nIT,b,2\nArt,c,3\n")
+    folder = str(tmp_path / "folder")
+    for path in (plain, folder):
+        if path == folder:
+            spark.createDataFrame([("IT", "a", "1"), ("IT", "b", "2"), ("Art", "c", "3")], market.MARKET_SCHEMA).coalesce(1).write.csv(path, header=True)
+        before = market.read_market(spark, path)
+        market.write_market(before.filter("Category = 'IT'"), path)
+        assert sorted(r.Role for r in market.read_market(spark, path).collect()) == ["a", "b"]
+        read = market.read_market(spark, path)
+        market.write_market(read.filter("Role = 'a'"), path)
+        # who began to read before still reads the whole old version
+        assert read.count() == 2 and [r.Role for r in market.read_market(spark, path).collect()] == ["a"]
+        kept = versions.versions(spark, path)
+        assert len(kept) == 3 and versions.vacuum(spark, path, keep=1) == kept[:2]
+        assert [r.Role for r in market.read_market(spark, path).collect()] == ["a"]
+        assert not [p for p in tmp_path.iterdir() if "before" in p.name or ".v-" in p.name]
+
+
+def test_a_failed_write_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("IT", "a", "1")], market.MARKET_SCHEMA)
+    market.write_market(rows, path)
+    for place in (path, write(tmp_path, "p.csv", "Category,Role,JobCount\nIT,a,1\n")):
+        bad = market.read_market(spark, place).withColumn("Role", F.raise_error(F.lit("broken on purpose")).cast("string"))
+        with pytest.raises(Exception, match="broken on purpose"):
+            market.write_market(bad, place)
+        assert [tuple(r) for r in market.read_market(spark, place).collect()] == [("IT", "a", "1")]
+    assert len(versions.versions(spark, path)) == 1
+
+
+def test_two_writers_do_not_mix(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "t")
+    market.write_market(spark.createDataFrame([("IT", "first", "1")], market.MARKET_SCHEMA), path)
+    tables_of = [spark.range(200).selectExpr("'IT' Category", f"'w{w}' Role", "cast(id as string) JobCount").repartition(4) for w in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda t: market.write_market(t, path), tables_of))
+    rows = market.read_market(spark, path)
+    assert rows.count() == 200 and rows.select("Role").distinct().count() == 1 and len(versions.versions(spark, path)) == 5
+
+
+def test_models_are_replaced_and_only_absence_counts(spark, tmp_path):
+    from scorefold.operators import clustering
+
+    df = spark.createDataFrame([(0.0,), (0.1,), (5.0,), (5.1,)], "x double")
+    fitted = [clustering.fit_clusters(df, ["x"], k, 1) for k in (2, 3)]
+    path = str(tmp_path / "m")
+    for model in fitted:
+        models.save_model(model, path)
+        assert len(clustering.model_centres(models.load_or(path))) == len(clustering.model_centres(model))
+    assert models.load_or(None, "passthrough") is None and models.load_or(str(tmp_path / "none"), "fit", lambda: 7) == 7
+    df.write.parquet(str(tmp_path / "data"))
+    fitted[0].stages[-1].write().save(str(tmp_path / "other"))
+    for place in ("data", "other"):
+        assert models.load_or(str(tmp_path / place), "passthrough") is None
+        with pytest.raises(RuntimeError):
+            models.load_or(str(tmp_path / place))
+    # a damaged model is an error, not a missing one
+    from pathlib import Path
+
+    for part in (Path(versions.current(spark, path)) / "stages").glob("*/metadata/part-*"):
+        part.write_text("{}")
+    with pytest.raises(Exception):
+        models.load_or(path, "passthrough")
