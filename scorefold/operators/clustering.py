@@ -14,7 +14,7 @@ from operator import add
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -273,8 +273,3 @@ def rank_labels(
 def risk_order(cluster="prediction", table: dict[int, int] | None = None) -> Column:
     """Risk position of a fixed cluster number, null for others; 0 is the riskiest."""
     return lookup(cluster, table or labels.RISK_ORDER)
-
-
-def label_index(df: DataFrame, label: str, output: str = "ml_label") -> DataFrame:
-    """Number the labels, most frequent first, ties alphabetical."""
-    return StringIndexer(inputCol=label, outputCol=output).fit(df).transform(df)

@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorefold.operators.clustering import label_index
+from scorefold.operators.ranks import label_index
 from scorefold.operators.schema import columns_between, to_double
 
 SCHEMA = "subject string, percent double"

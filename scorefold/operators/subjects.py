@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorefold import labels
 from scorefold.functions import bands, rules
 from scorefold.functions.casts import named
+from scorefold.operators.ranks import medians
 from scorefold.operators.schema import missing_columns, to_double
 
 # lower bounds of the letter bands on the 10-point scale (a parameter, not part of the rules)
@@ -27,7 +31,8 @@ def subject_stats(
 
     The first step counts equal scores, so a subject with a third of all rows
     leaves each task as at most one row per distinct score; mean, spread,
-    shares and the exact median then come from those counts.  `weight` says how
+    shares and the exact median then come from those counts, the median by
+    selection over ranges of scores (see ranks.medians).  `weight` says how
     many results a row stands for.  MTC% is the share of null scores unless
     `missing` gives another expression.  `name` carries a subject's name along.
     """
@@ -56,13 +61,15 @@ def subject_stats(
     # greatest() skips nulls, so a single score is kept apart
     spread = F.when(scored > 1, F.sqrt(F.greatest(F.lit(0.0), variance)))
     lost = F.coalesce(F.sum(F.when(x.isNull(), n)), F.lit(0))
-    return counts.groupBy(*ids).agg(
+    whole = counts.groupBy(*ids).agg(
         F.try_divide(s1, scored).alias("TB"),
         spread.alias("SD"),
         *shares,
         (missing if missing is not None else 100.0 * lost / F.sum(n)).alias("MTC%"),
-        F.percentile(x, 0.5, n).alias("TV"),  # holds a subject's distinct scores: a few hundred on a marking scale
     )
+    middle = medians(counts, ids, "x", "n", "TV").select(*[F.col(i).alias(f"__{i}") for i in ids], "TV")
+    same = reduce(and_, [F.col(i).eqNullSafe(F.col(f"__{i}")) for i in ids])
+    return whole.join(middle, same, "left").drop(*[f"__{i}" for i in ids])
 
 
 def label_difficulty_and_trend(stats: DataFrame) -> DataFrame:

@@ -420,6 +420,11 @@ SEEKERS = f"""seekers as (
 ), texts as (select distinct skills from seekers)"""
 
 SQL: dict[str, str] = {
+    "price_medians": "select l_partkey, median(cast(l_extendedprice as double)) as median from lineitem group by 1",
+    "median_price": "select substr(o_orderpriority, 2, 1) as sign, median(cast(o_totalprice as double)) as median from orders group by 1",
+    "customer_index": """with n as (select cast(o_custkey as varchar) as customer, count(*) as n from orders group by 1),
+  i as (select customer, row_number() over (order by n desc, customer) - 1 as number from n)
+select o_orderkey, customer, number from orders join i on customer = cast(o_custkey as varchar)""",
     "load_report": f"""with {MARKET}, n as (
   select count(*) as rows, count(*) filter (where "JobCount" is null) as nulls, count(try_cast(trim("JobCount") as double)) as numbers,
          count(*) filter (where "Category" is null) as c, count(*) filter (where "Role" is null) as r from market)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scorefold import labels
 from scorefold.functions import bands, casts, rules, scale
 from scorefold.operators import (
-    cards, clustering, importance, kselect, market, matching, pages, schema, scores, search, subjects,
+    cards, clustering, importance, kselect, market, matching, pages, ranks, schema, scores, search, subjects,
 )
 from scorefold.plans import career, inputs, students, training
 from scorefold.plans import subjects as subject_plans
@@ -453,6 +453,27 @@ def dedupe_last(spark, d):
     return subjects.dedupe_last(orders, "o_custkey", "o_orderkey")
 
 
+@query
+def price_medians(spark, d):
+    """Median price of each part's lines: nearly as many distinct values as rows."""
+    lines = inputs.table(spark, d, "lineitem").select("l_partkey", F.col("l_extendedprice").cast("double").alias("price"), F.lit(1).alias("n"))
+    return ranks.medians(lines, ["l_partkey"], "price", "n")
+
+
+@query
+def median_price(spark, d):
+    """One key for all lines: the median price by order priority's first letter."""
+    orders = inputs.table(spark, d, "orders").select(F.substring("o_orderpriority", 2, 1).alias("sign"), F.col("o_totalprice").cast("double").alias("price"))
+    return ranks.medians(orders.withColumn("n", F.lit(1)), ["sign"], "price", "n")
+
+
+@query
+def customer_index(spark, d):
+    """Customers numbered by how many orders they have: a label for each."""
+    orders = inputs.table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    return ranks.label_index(orders, "customer", "number").withColumn("number", F.col("number").cast("bigint"))
+
+
 # --- search -----------------------------------------------------------------
 
 @query
@@ -664,7 +685,7 @@ def default_k(spark, d):
 
 @query
 def label_index(spark, d):
-    table = clustering.label_index(_ready(spark, d).select("ma_sv", "nhom_san_sang"), "nhom_san_sang")
+    table = ranks.label_index(_ready(spark, d).select("ma_sv", "nhom_san_sang"), "nhom_san_sang")
     return table.withColumn("ml_label", F.col("ml_label").cast("int"))
 
 
