@@ -420,6 +420,9 @@ SEEKERS = f"""seekers as (
 ), texts as (select distinct skills from seekers)"""
 
 SQL: dict[str, str] = {
+    "indexed_search_literal": "select doc_id, source from documents where contains(lower(text), '+1 (') or contains(lower(source), '+1 (')",
+    "indexed_search_regex": f"""with {PART_SUBJECTS} select * from parts where regexp_matches("TenMH", '(?i)^small.*bolt')""",
+    "indexed_student_search": "select c_custkey as ma_sv, c_name as ho_ten from customer where contains(lower(c_name), 'r#00000011')",
     "price_medians": "select l_partkey, median(cast(l_extendedprice as double)) as median from lineitem group by 1",
     "median_price": "select substr(o_orderpriority, 2, 1) as sign, median(cast(o_totalprice as double)) as median from orders group by 1",
     "customer_index": """with n as (select cast(o_custkey as varchar) as customer, count(*) as n from orders group by 1),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scorefold import labels
 from scorefold.functions import bands, casts, rules, scale
 from scorefold.operators import (
-    cards, clustering, importance, kselect, market, matching, pages, ranks, schema, scores, search, subjects,
+    cards, clustering, importance, kselect, market, matching, pages, ranks, schema, scores, search, search_index, subjects,
 )
 from scorefold.plans import career, inputs, students, training
 from scorefold.plans import subjects as subject_plans
@@ -505,6 +505,29 @@ def table_search_literal(spark, d):
     return search.search_any(documents, "+1 (", ["text", "source"], mode="literal").select("doc_id", "source")
 
 
+@query
+def indexed_search_literal(spark, d):
+    """The documents' words by a stored index: which documents hold the keyword."""
+    path = scratch_path(spark, "search")
+    search_index.save_index(inputs.table(spark, d, "documents").select("doc_id", "text", "source"), path, ["text", "source"], 16)
+    return search_index.SearchIndex(spark, path).search_any("+1 (", ["text", "source"], mode="literal").select("doc_id", "source")
+
+
+@query
+def indexed_search_regex(spark, d):
+    path = scratch_path(spark, "search")
+    search_index.save_index(_parts(spark, d), path, block_rows=64)
+    return search_index.SearchIndex(spark, path).search_any("^small.*bolt")
+
+
+@query
+def indexed_student_search(spark, d):
+    people = inputs.table(spark, d, "customer").select(F.col("c_custkey").alias("ma_sv"), F.col("c_name").alias("ho_ten"))
+    path = scratch_path(spark, "search")
+    search_index.save_index(people, path)
+    return search_index.SearchIndex(spark, path).student_search("R#00000011")
+
+
 @query
 def student_search(spark, d):
     people = inputs.table(spark, d, "customer").select(F.col("c_custkey").alias("ma_sv"), F.col("c_name").alias("ho_ten"))

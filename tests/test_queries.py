@@ -20,7 +20,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
-SEARCHES = [n for n in QUERIES if n.startswith(("table_search", "page_", "student_search", "subject_search", "career_analysis_search"))]
+SEARCHES = [n for n in QUERIES if n.startswith(("table_search", "indexed_", "match_", "page_", "student_search", "subject_search", "career_analysis_search"))]
 
 
 @pytest.mark.parametrize("name", SEARCHES)
