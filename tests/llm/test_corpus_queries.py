@@ -35,10 +35,9 @@ def test_stages_by_hand(spark, sf_dir):
         key = "".join(r["text"].split(" ")).translate({i: None for i in range(9, 14)})
         best[key] = min(best.get(key, (1, 0)), (-len(r["text"]), r["doc_id"]))
     assert sorted(r["doc_id"] for r in single) == sorted(i for _, i in best.values())
-    from test_simhash import brute_components
+    from test_resemblance import brute_stays
 
-    parts = brute_components([(r["doc_id"], r["text"]) for r in single])
-    assert sorted(r["doc_id"] for r in far) == sorted(set(parts.values()))
+    assert sorted(r["doc_id"] for r in far) == brute_stays([(r["doc_id"], r["text"]) for r in single])
     sizes = {r["source"]: 0 for r in far}
     for r in far:
         sizes[r["source"]] += size(r["text"])
