@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from scorefold.operators.clustering import VECTOR, assemble, distinct_up_to
 
+#: Further starts for a k whose cost lies above that of the k before.
+RESTARTS = 5
 METRICS_SCHEMA = "k int, wcss double, silhouette double"
 
 
@@ -37,14 +39,19 @@ def k_sweep(
     vectors = assemble(df, feature_cols, scale).select(VECTOR).persist()
     evaluator = ClusteringEvaluator(featuresCol=VECTOR, predictionCol="prediction")
 
-    def measure(k: int) -> tuple[int, float, float]:
-        model = KMeans(k=k, seed=seed, featuresCol=VECTOR).fit(vectors)
+    def measure(k: int, start: int = seed) -> tuple[int, float, float]:
+        model = KMeans(k=k, seed=start, featuresCol=VECTOR).fit(vectors)
         return k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(vectors)))
 
     try:
         tried = range(k_min, min(k_max, distinct_up_to(vectors, k_max)) + 1)
         with ThreadPool(parallelism) as pool:
             rows = pool.map(inheritable_thread_target(df.sparkSession)(measure), tried)
+        # one more centre can only lower the cost: where it rose, the start was a bad one
+        for i in range(1, len(rows)):
+            for again in range(1, RESTARTS + 1):
+                if rows[i][1] > rows[i - 1][1]:
+                    rows[i] = min(rows[i], measure(rows[i][0], seed + again), key=lambda r: r[1])
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, METRICS_SCHEMA)

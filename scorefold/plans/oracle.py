@@ -423,6 +423,12 @@ SQL: dict[str, str] = {
     "indexed_search_literal": "select doc_id, source from documents where contains(lower(text), '+1 (') or contains(lower(source), '+1 (')",
     "indexed_search_regex": f"""with {PART_SUBJECTS} select * from parts where regexp_matches("TenMH", '(?i)^small.*bolt')""",
     "indexed_student_search": "select c_custkey as ma_sv, c_name as ho_ten from customer where contains(lower(c_name), 'r#00000011')",
+    "suggest_k": """select 4 as tried, true as by_rule, 4 as default_k""",
+    "train_risk": f"""with f as ({TRAINED}) select count(*) as students, cast(sum(failed_subjects) as bigint) as failed, true as all_used,
+        true as silhouette_ok, true as band_ok, true as k_ok, count(*) as scored from f""",
+    "csv_folder": f"""with {STATS}, s as (select *, cast("MaMH" as bigint) % 3 as i from stats)
+select "MaMH", case when i <> 1 then "TenMH" || '|, one; two' end as "TenMH", case when i <> 2 then "TB" end as "TB",
+  case when i <> 1 then "SD" end as "SD", case when i <> 2 then "F%" end as "F%" from s""",
     "price_medians": "select l_partkey, median(cast(l_extendedprice as double)) as median from lineitem group by 1",
     "median_price": "select substr(o_orderpriority, 2, 1) as sign, median(cast(o_totalprice as double)) as median from orders group by 1",
     "customer_index": """with n as (select cast(o_custkey as varchar) as customer, count(*) as n from orders group by 1),
@@ -627,7 +633,7 @@ select ma_sv, rank, posting, cosine from seekers join ranked using (skills)""",
         for c in labels.SUBJECT_FEATURES),
     "kmeans_evaluation": f"with f as ({TRAINED}) select count(*) as students, true as agrees, true as band_agrees from f",
     "k_sweep": f"""with f as ({TRAINED}), d as (select count(*) as n from (select distinct {", ".join(labels.STUDENT_FEATURES)} from f))
-        select cast(k as integer) as k, true as below_single, true as silhouette_ok from range(2, 9) r(k), d where k <= n""",
+        select cast(k as integer) as k, true as below_single, true as silhouette_ok, true as cost_falls from range(2, 9) r(k), d where k <= n""",
     "evaluation_data": f"""with {GPAS}, {STATS}, f as ({TRAINED})
         select 'student' as kind, {len(labels.STUDENT_FEATURES)} as features, false as scaled, count(*) as n, {rnd("sum(gpa)", 4)} as first_sum from f
         union all select 'readiness', {len(labels.READINESS_FEATURES)}, false, count(*), {rnd("sum(gpa_tong)", 4)} from gpas

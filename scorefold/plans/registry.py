@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorefold import labels
@@ -145,6 +145,19 @@ def market_flatten(spark, d):
     return market_source.flatten_market(inputs.market_documents(spark, d), keep=["o_custkey"])
 
 
+@query
+def csv_folder(spark, d):
+    """A folder of files by `;` and by `,`, with columns in other orders and some missing, and line breaks in names."""
+    path, stats = scratch_path(spark, "folder"), inputs.stats(spark, d)
+    stats = stats.select("MaMH", F.concat("TenMH", F.lit("\n, one; two")).alias("TenMH"), "TB", "SD", F.col("F%"))
+    shapes = {"a": (";", ["MaMH", "TenMH", "TB", "SD", "F%"]), "b": (",", ["F%", "TB", "MaMH"]), "c": (",", ["SD", "TenMH", "MaMH"])}
+    for i, (name, (sep, columns)) in enumerate(shapes.items()):
+        own = stats.filter(F.col("MaMH").cast("bigint") % 3 == i).select(*[casts.named(c) for c in columns])
+        own.write.options(**tables.CSV_OPTIONS, sep=sep).csv(f"{path}/{name}")
+    found = tables.read_folder(spark, f"{path}/*", "MaMH string, TenMH string, TB double, SD double, `F%` double", multiline=True)
+    return found.withColumn("TenMH", F.replace("TenMH", F.lit("\n"), F.lit("|")))
+
+
 @query
 def normalize_columns(spark, d):
     part = inputs.table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
@@ -864,7 +877,35 @@ def k_sweep(spark, d):
     total = reduce(add, [F.var_pop(c) * F.count(c) for c in labels.STUDENT_FEATURES])
     single = features.agg(total).scalar()
     inside = F.col("silhouette").between(-1.0, 1.0)
-    return metrics.select("k", (F.col("wcss") < single).alias("below_single"), inside.alias("silhouette_ok"))
+    falls = F.col("wcss") <= F.coalesce(F.lag("wcss").over(Window.orderBy("k")), F.col("wcss"))  # a row per k
+    return metrics.select("k", (F.col("wcss") < single).alias("below_single"), inside.alias("silhouette_ok"), falls.alias("cost_falls"))
+
+
+@query
+def suggest_k(spark, d):
+    """The suggested k against the rule spelt out over the metrics that it rests on, and the middle k."""
+    features = durable(students.risk_features(inputs.cohort(spark, d)))
+    k, metrics = kselect.suggest_k(features, labels.STUDENT_FEATURES, 2, 5)
+    rows = sorted(map(tuple, metrics.collect()))  # a row per k
+    by_silhouette = min(rows, key=lambda r: (-r[2], r[0]))[0]
+    high, low = max(r[1] for r in rows), min(r[1] for r in rows)
+    weighed = min(rows, key=lambda r: (-(70 * r[2] + 30 * (high - r[1]) / (high - low)), r[0]))[0]
+    bends = [(-(a[1] - 2 * b[1] + c[1]), b[0]) for a, b, c in zip(rows, rows[1:], rows[2:])]
+    chosen = weighed if weighed in (by_silhouette, min(bends)[1]) else by_silhouette
+    middle = kselect.default_k(metrics).select("default_k")
+    return middle.select(F.lit(len(rows)).alias("tried"), F.lit(k == chosen).alias("by_rule"), "default_k")
+
+
+@query
+def train_risk(spark, d):
+    """Students grouped by a model whose k is chosen from the data: their counts, and checks of the model."""
+    wide = durable(inputs.cohort(spark, d))
+    model, clusters, report = students.train_risk(wide, k_max=4)
+    k = len(clustering.model_centres(model))
+    facts = clusters.agg(F.count("*").alias("students"), F.sum("failed_subjects").alias("failed"), (F.count_distinct("prediction") == k).alias("all_used"))
+    good = report.select(F.col("silhouette").between(-1.0, 1.0).alias("silhouette_ok"), (bands.silhouette_label("silhouette") == F.col("band")).alias("band_ok"))
+    scored = students.score_risk(wide, model).agg(F.count("*")).scalar()
+    return _together(facts, good).withColumns({"k_ok": F.lit(2 <= k <= 4), "scored": scored})
 
 
 @query

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -10,7 +13,7 @@ from scorefold import labels
 from scorefold.functions.casts import named, quoted, safe_double, safe_int
 from scorefold.operators.schema import normalize_columns
 from scorefold.session import durable
-from scorefold.sources.versions import current, replace
+from scorefold.sources.versions import current, first_line, replace
 
 # quotes are doubled inside quoted fields, and outer spaces belong to the value
 CSV_OPTIONS = {
@@ -18,6 +21,8 @@ CSV_OPTIONS = {
 }
 
 EMPTY_MARK = "\x01"
+#: Files whose first lines are asked for side by side.
+HEADERS_AT_ONCE = 16
 
 
 def _header_separator(line) -> Column:
@@ -37,7 +42,7 @@ def detect_delimiter(spark: SparkSession, path: str) -> str:
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | str | None = None,
     sep: str | None = None,
     normalize: bool = True,
@@ -51,7 +56,7 @@ def read_table(
     are inferred, which reads the whole table first.  `multiline` allows line breaks
     inside quoted fields, and makes each file one task.
     """
-    path = current(spark, path)
+    path = current(spark, path) if isinstance(path, str) else path
     options = CSV_OPTIONS | {"sep": sep or detect_delimiter(spark, path), "multiLine": multiline}
     if schema is None:
         df = spark.read.options(**options, inferSchema=True).csv(path)
@@ -71,6 +76,32 @@ def read_table(
     )
 
 
+def read_folder(spark: SparkSession, path: str, schema: StructType | str | None = None, normalize: bool = True, multiline: bool = False) -> DataFrame:
+    """The CSV files of a folder as one table, each by its own separator and header.
+
+    Files of one header and separator are read together, by Spark's reader, which cuts large
+    files (not with `multiline`); the parts are united by column name, null where a file
+    lacks a column.  Without a schema the columns are all that occur, as texts, in the order
+    of the files' names.  An empty folder gives no rows.  Only first lines are read
+    beforehand, of HEADERS_AT_ONCE files at a time; a header has no line breaks.
+    """
+    place = current(spark, path)
+    files = sorted(r["path"] for r in spark.read.format("binaryFile").load(place).where("length > 0").select("path").collect())
+    with ThreadPool(HEADERS_AT_ONCE) as pool:
+        lines = pool.map(lambda f: first_line(spark, f), files)
+    shapes: dict[tuple[str, str], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        shapes.setdefault((";" if line.count(";") > line.count(",") else ",", line), []).append(file)
+    if schema is None:
+        names: dict[str, None] = {}
+        for sep, _ in shapes:
+            some = shapes[sep, _][0]
+            names.update(dict.fromkeys(n.replace(" ", "") if normalize else n for n in spark.read.options(**CSV_OPTIONS, sep=sep).csv(some).columns))
+        schema = StructType([StructField(n, StringType()) for n in names])
+    parts = [read_table(spark, own, schema, sep, normalize, multiline) for (sep, _), own in shapes.items()]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
 def _header_schema(spark: SparkSession, path: str, sep: str, normalize: bool, text: set[str], whole: set[str]) -> StructType:
     """Every column of the header: text, whole numbers, and doubles for the rest."""
     names = spark.read.options(**CSV_OPTIONS, sep=sep).csv(current(spark, path)).columns

@@ -44,6 +44,14 @@ class _Files:
         finally:
             stream.close()
 
+    def line(self, path: str) -> str:
+        """The first line, without its end and a byte-order mark."""
+        java, stream = self.jvm.java.io, self.fs.open(self.of(path))
+        try:
+            return (java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine() or "").removeprefix("\ufeff")
+        finally:
+            stream.close()
+
     def put(self, path: str, text: str) -> None:
         """The whole text under the path at once, in place of what is there."""
         fresh = f"{path}.{uuid.uuid4().hex}"
@@ -64,6 +72,11 @@ class _Files:
         self.fs.delete(self.of(path), True)
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """A file's first line, of any file system that Spark reads."""
+    return _Files(spark, path).line(path)
+
+
 def current(spark: SparkSession, path: str) -> str:
     """The folder to read: the current version, or the path itself if it has no pointer."""
     files = _Files(spark, path)

@@ -246,3 +246,20 @@ def test_models_are_replaced_and_only_absence_counts(spark, tmp_path):
         part.write_text("{}")
     with pytest.raises(Exception):
         models.load_or(path, "passthrough")
+
+
+def test_folder_of_files_that_differ(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "1.csv").write_text('a;b;c d\n1;"x\n;y";2.5\n', encoding="utf-8")
+    (folder / "2.csv").write_bytes("\ufeffb,a\r\n\"q, \"\"r\"\"\",7\r\n,8\r\n".encode())
+    (folder / "3.csv").write_text("e\nonly\n")
+    (folder / "4.csv").write_text("")
+    (folder / "5.csv").write_text("a;b;c d\n3;z;4\n")
+    found = tables.read_folder(spark, str(folder), "a int, b string, cd double", multiline=True)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(1, "x\n;y", 2.5), (7, 'q, "r"', None), (8, None, None), (None, None, None), (3, "z", 4.0)], key=str)
+    texts = tables.read_folder(spark, str(folder), multiline=True)
+    assert texts.columns == ["a", "b", "cd", "e"] and texts.where("e = 'only'").count() == 1
+    (tmp_path / "none").mkdir()
+    assert tables.read_folder(spark, str(tmp_path / "none"), "a int").collect() == []
