@@ -429,6 +429,7 @@ SQL: dict[str, str] = {
     "csv_folder": f"""with {STATS}, s as (select *, cast("MaMH" as bigint) % 3 as i from stats)
 select "MaMH", case when i <> 1 then "TenMH" || '|, one; two' end as "TenMH", case when i <> 2 then "TB" end as "TB",
   case when i <> 1 then "SD" end as "SD", case when i <> 2 then "F%" end as "F%" from s""",
+    "student_features_kept": f"with {FEATURES} select * from features",
     "price_medians": "select l_partkey, median(cast(l_extendedprice as double)) as median from lineitem group by 1",
     "median_price": "select substr(o_orderpriority, 2, 1) as sign, median(cast(o_totalprice as double)) as median from orders group by 1",
     "customer_index": """with n as (select cast(o_custkey as varchar) as customer, count(*) as n from orders group by 1),

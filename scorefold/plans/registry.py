@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scorefold import labels
 from scorefold.functions import bands, casts, rules, scale
 from scorefold.operators import (
-    cards, clustering, importance, kselect, market, matching, pages, ranks, schema, scores, search, search_index, subjects,
+    cards, clustering, feature_state, importance, kselect, market, matching, pages, ranks, schema, scores, search, search_index, subjects,
 )
 from scorefold.plans import career, inputs, students, training
 from scorefold.plans import subjects as subject_plans
@@ -247,6 +247,19 @@ def student_features(spark, d):
     return _features(spark, d).withColumn("band", bands.gpa_label("gpa"))
 
 
+@query
+def student_features_kept(spark, d):
+    """Features from a state that took the scores in three batches: some wrong at first, some late and outdated."""
+    path, all_ = scratch_path(spark, "features"), durable(inputs.scores_long(spark, d))
+    wrong, late = F.col("ma_sv") % 3 == 0, F.col("ma_sv") % 5 == 0
+    first = all_.where(~late).withColumns({"diem": F.when(wrong, 9.5).otherwise(F.col("diem")), "version": F.lit(2)})
+    outdated = all_.where(~wrong & ~late).withColumns({"diem": F.lit(0.5), "version": F.lit(1)})
+    corrected = all_.where(wrong | late).withColumn("version", F.lit(3))
+    for batch in (first, outdated, corrected):
+        feature_state.update_state(spark, path, batch)
+    return feature_state.state_features(feature_state.read_state(spark, path)).withColumn("std_score", F.round("std_score", 6))
+
+
 @query
 def student_features_rowwise(spark, d):
     out = scores.student_features_rowwise(inputs.cohort(spark, d))
