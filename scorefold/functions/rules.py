@@ -72,6 +72,19 @@ def subject_group_color(quality) -> Column:
     return _subject_group(quality, 2)
 
 
+def subject_badge(quality, analysed: Column | bool = True) -> Column:
+    """A struct of the badge's background, foreground and icon; a subject that is not analysed has its own."""
+    priority, known = subject_priority(quality), F.coalesce(F.lit(analysed), F.lit(False))
+
+    def pick(i: int) -> Column:
+        ladder = F.when(~known, labels.SUBJECT_BADGE_UNKNOWN[i])
+        for p, values in labels.SUBJECT_BADGES.items():
+            ladder = ladder.when(priority == p, values[i])
+        return ladder
+
+    return F.struct(*[pick(i).alias(name) for i, name in enumerate(("background", "foreground", "icon"))])
+
+
 def label_priority(label, priorities=None, default: int = labels.LABEL_PRIORITY_DEFAULT) -> Column:
     """Priority by exact label."""
     label = as_column(label)

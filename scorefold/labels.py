@@ -90,6 +90,14 @@ SUBJECT_GROUPS = (
     ("Xuất sắc", 3, "Xuất sắc – Kết quả tốt", "#5eecb3"),
 )
 SUBJECT_GROUP_DEFAULT = (2, "Ổn định", "#c4b5fd")
+# Badge background, foreground and icon by priority, and those of a subject that is not analysed.
+SUBJECT_BADGES = {
+    0: ("#ef4444", "#ffffff", "⚡"),
+    1: ("#f59e0b", "#1c1917", "⚠️"),
+    2: ("#8b5cf6", "#ffffff", "📘"),
+    3: ("#10b981", "#ffffff", "✅"),
+}
+SUBJECT_BADGE_UNKNOWN = ("#c4b5fd", "#1e1b4b", "📋")
 
 # priority -> header of the full list / of the filtered list
 LIST_HEADERS = {

@@ -430,6 +430,9 @@ SQL: dict[str, str] = {
 select "MaMH", case when i <> 1 then "TenMH" || '|, one; two' end as "TenMH", case when i <> 2 then "TB" end as "TB",
   case when i <> 1 then "SD" end as "SD", case when i <> 2 then "F%" end as "F%" from s""",
     "student_features_kept": f"with {FEATURES} select * from features",
+    "subject_badge": f"""with {PRIORITISED} select cast(p_partkey as varchar) as "MaMH", {", ".join(
+        f"case when priority is null then {q(labels.SUBJECT_BADGE_UNKNOWN[i])} else {pick_by_priority({p: b[i] for p, b in labels.SUBJECT_BADGES.items()})} end as {name}"
+        for i, name in enumerate(("background", "foreground", "icon")))} from part left join prioritised on "MaMH" = cast(p_partkey as varchar)""",
     "price_medians": "select l_partkey, median(cast(l_extendedprice as double)) as median from lineitem group by 1",
     "median_price": "select substr(o_orderpriority, 2, 1) as sign, median(cast(o_totalprice as double)) as median from orders group by 1",
     "customer_index": """with n as (select cast(o_custkey as varchar) as customer, count(*) as n from orders group by 1),

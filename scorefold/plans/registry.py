@@ -443,6 +443,14 @@ def subject_priority_sorted(spark, d):
     return subjects.priority_sorted(_analysed(spark, d)).select("MaMH", "TenMH", "ChatLuong", "priority", "group_label", "color")
 
 
+@query
+def subject_badge(spark, d):
+    """Badges of all parts as subjects; those without a line are not analysed."""
+    found = _analysed(spark, d).select("MaMH", "ChatLuong", F.lit(True).alias("analysed"))
+    listed = _parts(spark, d).select("MaMH").join(found, "MaMH", "left")
+    return listed.select("MaMH", rules.subject_badge("ChatLuong", F.col("analysed")).alias("b")).select("MaMH", "b.*")
+
+
 @query
 def label_priority(spark, d):
     return _analysed(spark, d).select("MaMH", rules.label_priority("ChatLuong").alias("priority"))

@@ -130,3 +130,10 @@ def test_risk_lookup(column):
     from scorefold.operators.clustering import risk_order
 
     assert column([0, 1, 2, 3, 4, None], "int", risk_order) == [1, 3, 0, 2, None, None]
+
+
+def test_subject_badges(rows):
+    got = rows([("Tiêu cực - Kém", True), ("Không ổn định", True), ("Ổn định", True), ("Xuất sắc - Tốt", True), (None, True), ("Ổn định", False), (None, None)],
+               "q string, a boolean", rules.subject_badge("q", F.col("a")))
+    assert [r[0].icon for r in got] == ["⚡", "⚠️", "📘", "✅", "📘", "📋", "📋"]
+    assert tuple(got[1][0]) == ("#f59e0b", "#1c1917", "⚠️")
