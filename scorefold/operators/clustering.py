@@ -57,8 +57,13 @@ def vector_columns(df: DataFrame, names: list[str], vector: str = VECTOR) -> Dat
 # --- fitted models ----------------------------------------------------------
 
 def distinct_up_to(df: DataFrame, limit: int) -> int:
-    """min(number of distinct rows, limit)."""
-    return df.distinct().limit(limit).count()
+    """min(number of distinct rows, limit).
+
+    A sketch of fixed size tells many distinct rows from few; few leave each task as few rows, so only
+    those are compared in a shuffle.
+    """
+    about = df.agg(F.approx_count_distinct(F.xxhash64(*[named(c) for c in df.columns]))).first()[0]
+    return limit if about > 10 * limit + 100 else df.distinct().limit(limit).count()
 
 
 def _lowered(k: int, distinct: int) -> int:

@@ -5,18 +5,14 @@ A metrics table has one row per tried k, so its unpartitioned windows stay tiny.
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorefold.operators.clustering import VECTOR, assemble, distinct_up_to
+from scorefold.functions.casts import named
+from scorefold.operators.clustering import distinct_up_to
+from scorefold.operators.joint_kmeans import fit_together
+from scorefold.operators.schema import clean_features
 
-#: Further starts for a k whose cost lies above that of the k before.
-RESTARTS = 5
 METRICS_SCHEMA = "k int, wcss double, silhouette double"
 
 
@@ -27,34 +23,24 @@ def k_sweep(
     k_max: int = 10,
     seed: int = 42,
     scale: bool = False,
-    parallelism: int = 4,
 ) -> DataFrame:
     """Fit every k and measure it; k stops at the number of distinct feature rows: the table shows which were tried.
 
-    The vectors are cached once for all fits, so no fit recomputes the features or
-    keeps a copy of its own; give a durable table, so that a lost executor costs a
-    re-read.  `parallelism` fits run side by side, so the small jobs of one fill
-    the gaps of another.
+    All k are fitted in the same passes over the features, which are cached once; give a
+    durable table, so that a lost executor costs a re-read.  The cost never rises with k.
     """
-    vectors = assemble(df, feature_cols, scale).select(VECTOR).persist()
-    evaluator = ClusteringEvaluator(featuresCol=VECTOR, predictionCol="prediction")
-
-    def measure(k: int, start: int = seed) -> tuple[int, float, float]:
-        model = KMeans(k=k, seed=start, featuresCol=VECTOR).fit(vectors)
-        return k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(vectors)))
-
+    points = clean_features(df, feature_cols).select(*[named(c).cast("double").alias(c) for c in feature_cols])
+    if scale:
+        spread = points.agg(*[F.stddev_samp(named(c)).alias(c) for c in feature_cols]).first()
+        # a feature that does not vary counts as 0, as in training
+        points = points.select(*[(named(c) / spread[c] if spread[c] else F.lit(0.0)).alias(c) for c in feature_cols])
+    points = points.persist()
     try:
-        tried = range(k_min, min(k_max, distinct_up_to(vectors, k_max)) + 1)
-        with ThreadPool(parallelism) as pool:
-            rows = pool.map(inheritable_thread_target(df.sparkSession)(measure), tried)
-        # one more centre can only lower the cost: where it rose, the start was a bad one
-        for i in range(1, len(rows)):
-            for again in range(1, RESTARTS + 1):
-                if rows[i][1] > rows[i - 1][1]:
-                    rows[i] = min(rows[i], measure(rows[i][0], seed + again), key=lambda r: r[1])
+        tried = list(range(k_min, min(k_max, distinct_up_to(points, k_max)) + 1))
+        fits = fit_together(points, feature_cols, tried, seed)
     finally:
-        vectors.unpersist()
-    return df.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
+        points.unpersist()
+    return df.sparkSession.createDataFrame([(k, float(f.cost), float(f.silhouette)) for k, f in fits.items()], METRICS_SCHEMA)
 
 
 def default_k(metrics: DataFrame) -> DataFrame:
