@@ -345,6 +345,17 @@ def headings(tag: str) -> str:
 select page_id, cast(len(hs) as integer) as n_headings, array_to_string(hs, chr(10)) as headings from found"""
 
 
+def paragraphs() -> str:
+    """What follows each start of a paragraph, up to its own end or that of the article around it."""
+    hidden = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+    cut = "regexp_replace(t, '(?is)</(p|article|div|body|html)>.*$', '')"
+    text = "trim(" + entities(f"regexp_replace({cut}, '<[^>]*>', '', 'g')") + ", ' \n\t\r')"
+    return f"""with found as (
+  select page_id, list_filter(list_transform(string_split(regexp_replace(html, '{hidden}', '', 'g'), '<p>')[2:], lambda t: {text}),
+                              lambda t: t <> '') as hs from pages)
+select page_id, cast(len(hs) as integer) as n_headings, array_to_string(hs, chr(10)) as headings from found"""
+
+
 PHRASED = """phrased as (
   select page_id, html || ' tìm thấy ' || page_id || ' KẾT QUẢ, ' || length(url) || 'kết quả, ' || length(html) || '  Việc Làm' as html
   from pages
@@ -617,6 +628,7 @@ select ma_sv, rank, posting, cosine from seekers join ranked using (skills)""",
         select ma_sv, nhom_san_sang, ml_label from ready join ranked using (nhom_san_sang)""",
     "page_headings": headings("h1"),
     "page_link_texts": headings("a"),
+    "page_paragraphs": paragraphs(),
     "page_marker": """select page_id, contains(html, '__NEXT_DATA__') as has_payload, contains(html, '<div class="ad">') as has_advert, contains(html, '<html lang="en"') as has_marker from pages""",
     "page_payload_titles": """select page_id, 2 as n_payload, url || chr(10) || url as payload, url as payload_sample from pages""",
     "page_count_phrases": phrases(),

@@ -760,6 +760,13 @@ def page_link_texts(spark, d):
     return found.select("page_id", "n_headings", F.array_join("headings", "\n").alias("headings"))
 
 
+@query
+def page_paragraphs(spark, d):
+    """Paragraphs of all pages, most of them without an end tag."""
+    found = pages.extract_headings(inputs.table(spark, d, "pages"), "p")
+    return found.select("page_id", "n_headings", F.array_join("headings", "\n").alias("headings"))
+
+
 @query
 def page_marker(spark, d):
     found = inputs.table(spark, d, "pages")

@@ -30,6 +30,9 @@ class _Files:
         self.fs = self.path.getFileSystem(conf)
         self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), conf)
         self.gateway = spark.sparkContext._gateway
+        # a checksum file beside a local pointer could not be switched in the same step
+        local = self.fs.getUri().getScheme() == "file"
+        self.raw = self.jvm.org.apache.hadoop.fs.FileSystem.getLocal(conf).getRaw() if local else None
 
     def of(self, path: str):
         return self.jvm.org.apache.hadoop.fs.Path(path)
@@ -38,7 +41,7 @@ class _Files:
         return self.fs.exists(self.of(path))
 
     def text(self, path: str) -> str:
-        stream = self.fs.open(self.of(path))
+        stream = (self.raw or self.fs).open(self.of(path))
         try:
             return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
@@ -55,11 +58,15 @@ class _Files:
     def put(self, path: str, text: str) -> None:
         """The whole text under the path at once, in place of what is there."""
         fresh = f"{path}.{uuid.uuid4().hex}"
-        stream = self.fs.create(self.of(fresh), True)
+        stream = (self.raw or self.fs).create(self.of(fresh), True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
+        if self.raw is not None:  # a rename that replaces, as the operating system does it
+            if not self.raw.rename(self.of(fresh), self.of(path)):
+                raise OSError(f"cannot move {fresh} to {path}")
+            return
         options = self.gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         self.context.rename(self.fs.makeQualified(self.of(fresh)), self.fs.makeQualified(self.of(path)), options)
