@@ -47,12 +47,12 @@ EXACT = 1 << 21
 
 
 def integer_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """vec_id, v (integers as doubles), norm2 for the rows that take part."""
+    """vec_id, v (the integers over scale, a power of two, so that none overflows), norm2 for the rows that take part."""
     own = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("x"))
     finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) <= 1.7976931348623157e308))
-    # floor of a double as a double: components beyond a long stay what they are
-    floor = lambda c: F.when(F.abs(c) < 2.0**52, F.floor(c).cast("double")).otherwise(c)
-    whole = own.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & finite).select("vec_id", F.transform("x", lambda c: floor(c * scale)).alias("v"))
+    # components whose multiple is whole anyway stay what they are
+    floor = lambda c: F.when(F.abs(c) < 2.0**52 / scale, F.floor(c * scale).cast("double") / scale).otherwise(c)
+    whole = own.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & finite).select("vec_id", F.transform("x", floor).alias("v"))
     return whole.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
 
 
@@ -67,13 +67,26 @@ def _matrix(column: pa.Array | pd.Series, width: int) -> np.ndarray:
     return out
 
 
+def _small(*rows: np.ndarray) -> bool:
+    """Whether sums of products are exact in doubles."""
+    return all(np.abs(m).max(initial=0) <= EXACT / SCALE and m.shape[1] <= 1024 for m in rows)
+
+
 def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Integer inner products of rows with rows, cut off at the range of a long."""
-    if max(np.abs(q).max(initial=0), np.abs(x).max(initial=0)) <= EXACT and q.shape[1] <= 1024:
-        return (q @ x.T).astype("i8")
-    whole = [[int(c) for c in r] for r in x]
-    top = (1 << 63) - 1
-    return np.array([[max(-top - 1, min(top, sum(int(a) * b for a, b in zip(row, r, strict=True)))) for r in whole] for row in q], "i8").reshape(len(q), len(x))
+    if _small(q, x):
+        return ((q * SCALE) @ (x * SCALE).T).astype("i8")
+    integer = lambda c: int(c) * SCALE if abs(c) > 2.0**60 else int(c * SCALE)
+    whole, top = [[integer(c) for c in r] for r in x.tolist()], (1 << 63) - 1
+    rows = [[integer(c) for c in r] for r in q.tolist()]
+    return np.array([[max(-top - 1, min(top, sum(a * b for a, b in zip(row, r, strict=True)))) for r in whole] for row in rows], "i8").reshape(len(q), len(x))
+
+
+def _scaled(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows over powers of two, and these: 1 unless squares might leave the range of a double."""
+    largest = np.abs(rows).max(1, initial=0)
+    scale = np.ldexp(1.0, np.where((largest > 1e60) | (largest < 1e-60) & (largest > 0), np.frexp(largest)[1] - 1, 0))
+    return rows / scale[:, None], scale
 
 
 def rotation(sample: np.ndarray) -> np.ndarray:
@@ -87,31 +100,39 @@ def block_top(q_ids: np.ndarray, q: np.ndarray, floors: np.ndarray, x_ids: np.nd
 
     floors: a lower bound of each query's k-th best score (-inf without one).
     """
-    norm_q, norm_x = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
-    order = np.argsort(-norm_x, kind="stable")
-    x, x_ids, norm_x = x[order], x_ids[order], norm_x[order]
+    (sq, scale_q), (sx, scale_x) = _scaled(q), _scaled(x)
+    with np.errstate(over="ignore"):
+        order = np.argsort(-np.linalg.norm(sx, axis=1) * scale_x, kind="stable")
+    x, x_ids, sx, scale_x = x[order], x_ids[order], sx[order], scale_x[order]
+    norm_q, norm_x = np.linalg.norm(sq, axis=1), np.linalg.norm(sx, axis=1)
     head = max(1, x.shape[1] // HEAD)
-    rq, rx = q @ turn, x @ turn
+    rq, rx = sq @ turn, sx @ turn
     rest_q, rest_x = np.linalg.norm(rq[:, head:], axis=1), np.linalg.norm(rx[:, head:], axis=1)
-    slack = 1e-9 * (norm_q.max(initial=0) * norm_x.max(initial=0)) + 1e-6
+
+    def reaches(bound: np.ndarray, rows: np.ndarray, columns: slice) -> np.ndarray:
+        """Whether a bound of scaled rows, with room for rounding, may reach the floors; one that is no number may."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            room = bound + 1e-9 * norm_q[rows, None] * norm_x[None, columns]
+            return ~(room * (scale_q[rows, None] * scale_x[None, columns]) * SCALE**2 + 1e-6 < floors[rows, None])
+
     floors = floors.astype(float).copy()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     best = [np.full((len(q), k), -np.inf)]
+    small = _small(q, x)
     for at in range(0, len(x), 512):
         to = min(at + 512, len(x))
-        live = np.flatnonzero(norm_q * norm_x[at] + slack >= floors)
+        live = np.flatnonzero(reaches(norm_q[:, None] * norm_x[None, at : at + 1], np.arange(len(q)), slice(at, at + 1)))
         if not len(live):
             break  # all further vectors are shorter
-        bound = rq[live, :head] @ rx[at:to, :head].T + rest_q[live, None] * rest_x[None, at:to] + slack
-        may = (bound >= floors[live, None]) & (q_ids[live, None] != x_ids[None, at:to])
+        bound = rq[live, :head] @ rx[at:to, :head].T + rest_q[live, None] * rest_x[None, at:to]
+        may = reaches(bound, live, slice(at, to)) & (q_ids[live, None] != x_ids[None, at:to])
         if not may.any():
             continue
         rows, columns = np.nonzero(may)
-        small_ints = max(np.abs(q).max(initial=0), np.abs(x).max(initial=0)) <= EXACT and q.shape[1] <= 1024
-        if len(rows) > DENSE * may.size or not small_ints:
+        if len(rows) > DENSE * may.size or not small:
             score = _exact(q[live], x[at:to])[rows, columns]
         else:
-            score = np.einsum("ij,ij->i", q[live[rows]], x[at + columns]).astype("i8")
+            score = np.einsum("ij,ij->i", q[live[rows]] * SCALE, x[at + columns] * SCALE).astype("i8")
         rows = live[rows]
         keep = score >= floors[rows]
         rows, columns, score = rows[keep], columns[keep], score[keep]
@@ -187,7 +208,7 @@ def top_inner_products(rows: DataFrame, vec_id: str = "vec_id", embedding: str =
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     left = blocks.withColumn("run", F.pmod(F.xxhash64("band", "part"), F.lit(runs))).withColumn("chunk", each(q_blocks))
     pairs = left.hint("merge").join(chunks.withColumn("run", each(runs)), ["chunk", "run"])
-    pairs = pairs.where((F.col("floor") <= 0) | (F.sqrt(F.col("q_norm2")) * F.sqrt(F.col("x_norm2")) * 1.000001 + 1 >= F.col("floor")))
+    pairs = pairs.where((F.col("floor") <= 0) | (F.sqrt(F.col("q_norm2")) * F.sqrt(F.col("x_norm2")) * SCALE**2 * 1.000001 + 1 >= F.col("floor")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

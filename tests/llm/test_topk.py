@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -53,3 +54,20 @@ def test_empty_and_few(spark):
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, [(0, [1.0]), (3, [2.0])]) == [(0, 1, 3, 64 * 128)]
     assert run(spark, [(1, [1.0]), (3, [2.0])]) == []
+
+
+@pytest.mark.parametrize("sizes", [(1e150,), (1e200,), (1e307, 1.7e308), (1e-200, 1.0, 1e10, 1e200, 1e307)])
+def test_components_of_any_size(spark, sizes):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.choice([-1.0, 0.0, 0.5, 1.0], 6) * rng.choice(sizes, 6) * rng.random(6)]) for i in range(130)]
+    rows += [(200 + i, [sizes[-1], -sizes[-1], float(i), 0.0, 0.0, 0.0]) for i in range(30)]  # large terms that cancel
+    rows += [(400, [1.0, 1.0, 2.0, 0.0, 0.0, 0.0]), (420, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_inner_products(df).collect()}
+    top = 2**63 - 1
+    whole = {i: [math.floor(Fraction(c) * 64) for c in v] for i, v in rows}
+    wanted = {}
+    for q in (i for i, _ in rows if i % 20 == 0):
+        scores = sorted((-max(-top - 1, min(top, sum(a * b for a, b in zip(whole[q], x)))), i) for i, x in whole.items() if i != q)
+        wanted |= {(q, rank): (i, -s) for rank, (s, i) in enumerate(scores[:20], 1)}
+    assert got == wanted
