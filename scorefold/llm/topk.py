@@ -186,10 +186,7 @@ def top_inner_products(rows: DataFrame, vec_id: str = "vec_id", embedding: str =
     numbered = vectors.withColumn("row", F.monotonically_increasing_id())
     queries = numbered.where(query).mapInArrow(with_floor, "vec_id long, row long, v array<double>, floor double, norm2 double")
     q_blocks = -(-queries_n // QUERY_BLOCK)
-    chunks = (
-        queries.groupBy(F.pmod(F.xxhash64("row"), F.lit(q_blocks)).alias("chunk"))
-        .agg(F.collect_list(F.struct("vec_id", "row", "v", "floor")).alias("queries"), F.min(F.col("floor")).alias("floor"), F.max("norm2").alias("q_norm2"))
-    )
+    queries = written(queries.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(q_blocks))), "topk-queries")
     # vectors in blocks by length: bounds at equal shares of the lengths' distribution, equal lengths spread by a hash
     x_blocks = -(-total // BLOCK)
     bounds = vectors.approxQuantile("norm2", [i / x_blocks for i in range(1, x_blocks)], 0.2 / x_blocks) if 1 < x_blocks <= 4096 else []
@@ -199,16 +196,20 @@ def top_inner_products(rows: DataFrame, vec_id: str = "vec_id", embedding: str =
     band = F.lit(0) if not bounds else F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("norm2")))
     banded = vectors.withColumn("band", band)
     sizes = banded.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("parts"))
-    blocks = (
-        banded.join(sizes, "band").groupBy("band", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part"))
-        .agg(F.collect_list(F.struct("vec_id", "v")).alias("vectors"), F.max("norm2").alias("x_norm2"))
-    )
-    # every block of queries meets every block whose longest vector may reach its lowest floor, RUN blocks to a task
+    banded = banded.join(sizes, "band").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+    # which blocks of queries a block of vectors must meet is known by their lengths and lowest floors, before any vector moves
     runs = max(1, -(-x_blocks // RUN))
-    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    left = blocks.withColumn("run", F.pmod(F.xxhash64("band", "part"), F.lit(runs))).withColumn("chunk", each(q_blocks))
-    pairs = left.hint("merge").join(chunks.withColumn("run", each(runs)), ["chunk", "run"])
-    pairs = pairs.where((F.col("floor") <= 0) | (F.sqrt(F.col("q_norm2")) * F.sqrt(F.col("x_norm2")) * SCALE**2 * 1.000001 + 1 >= F.col("floor")))
+    lengths = banded.groupBy("band", "part").agg(F.max("norm2").alias("x_norm2"))
+    lengths = lengths.withColumn("run", F.pmod(F.xxhash64("band", "part"), F.lit(runs)))
+    lengths = lengths.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
+    meet = lengths.join(queries.groupBy("chunk").agg(F.min("floor").alias("floor"), F.max("norm2").alias("q_norm2")), "chunk")
+    meet = meet.where((F.col("floor") <= 0) | (F.sqrt(F.col("q_norm2")) * F.sqrt(F.col("x_norm2")) * SCALE**2 * 1.000001 + 1 >= F.col("floor")))
+    meet = written(meet.select("band", "part", "chunk", "run"), "topk-meet")
+    blocks = banded.groupBy("band", "part").agg(F.collect_list(F.struct("vec_id", "v")).alias("vectors"))
+    chunks = queries.groupBy("chunk").agg(F.collect_list(F.struct("vec_id", "row", "v", "floor")).alias("queries"))
+    # RUN blocks to a task with their block of queries
+    left = blocks.hint("merge").join(meet, ["band", "part"])
+    pairs = left.hint("merge").join(chunks.hint("merge").join(meet.select("chunk", "run").distinct(), "chunk"), ["chunk", "run"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
