@@ -3,8 +3,11 @@
 The pieces of an existing vocabulary get weights from the training texts: from
 equal weights on, every round of expectation goes over all distinct training words.  A word is a lattice: every way to spell a blank
 and the word by pieces is a path, a path's probability is the product of its
-pieces' weights, and a forward pass in log space adds up all paths (words so short
-that products cannot underflow are added up as plain numbers).  Only a word's first piece begins with a blank, so a
+pieces' weights, and a forward pass adds up all paths.  The edges of every training
+word's lattice (pieces and their places) are found once and written; the rounds and
+the last scores are array operations over the edges of many words at once, on
+products scaled by a constant per byte, which cancels.  Words that are longer, or
+whose products leave the range of doubles, are added up one by one in log space.  Only a word's first piece begins with a blank, so a
 text's words and its end follow from its pieces, and the pieces' probabilities
 make a distribution over texts.  A training word is one more path, with its count
 less a discount; the discounts' mass weighs the pieces (both are probabilities of
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +49,12 @@ HEAD_BYTES = 64
 PIECE_PRIOR = 0.01
 #: Rounds of expectation, each over all distinct words.
 ROUNDS = 5
-#: Bytes that cannot underflow as a plain product of piece weights.
+#: Bytes up to which a single word's paths are added up as plain numbers, if their sum is not too small for that.
 SHORT = 24
+SAFE = 1e-290
+#: Bytes, blank included, up to which a word's edges are written; natural log of what a byte's weight is scaled by.
+KEPT = 64
+SCALE = 3.0
 REMEMBERED = 200_000
 LOG10 = math.log(10)
 
@@ -82,6 +90,18 @@ class Pieces:
                 if found[2] >= 0:
                     yield i, j, found
 
+    def edges(self, data: bytes) -> list[int]:
+        """Piece number * KEPT + place of every piece in data, which has KEPT bytes at most."""
+        get, n, out = self.plain.get, len(data), []
+        for i in range(n):
+            for j in range(i + 1, n + 1):
+                found = get(data[i:j])
+                if found is None:
+                    break
+                if found[2] >= 0:
+                    out.append(found[2] * KEPT + i)
+        return out
+
     def spelled(self, data: bytes) -> float:
         """Natural log of the summed probability of all segmentations of data."""
         n = len(data)
@@ -89,7 +109,8 @@ class Pieces:
             sums = [1.0, *[0.0] * n]
             for i, j, (w, _, _) in self._edges(data):
                 sums[j] += sums[i] * w
-            return math.log(sums[n]) if sums[n] > 0 else -math.inf
+            if sums[n] > SAFE:
+                return math.log(sums[n])
         return self._forward(data)[n]
 
     def _forward(self, data: bytes) -> array:
@@ -116,7 +137,8 @@ class Pieces:
         for i, j, (w, _, _) in reversed(edges):
             backward[i] += w * backward[j]
         whole = forward[n]
-        if whole <= 0:
+        if whole <= SAFE:
+            self._expect_long(data, counts)
             return
         for i, j, (w, _, k) in edges:
             if share := forward[i] * w * backward[j] / whole:
@@ -168,26 +190,119 @@ def word_counts(training: DataFrame, text: str = "text") -> DataFrame:
     return training.select(text).mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _expected(guess: Pieces):
+class Lattices:
+    """The lattices of many words by their written edges, added up place by place for all words together."""
+
+    def __init__(self, sizes: np.ndarray, per_word: np.ndarray, edges: np.ndarray, piece_sizes: np.ndarray, weights: np.ndarray):
+        self.sizes, self.n = sizes, len(sizes)
+        word, self.piece, start = np.repeat(np.arange(self.n), per_word), edges // KEPT, edges % KEPT
+        end = start + piece_sizes[self.piece]
+        self.word, self.start, self.end = word, start * self.n + word, end * self.n + word
+        # log weights scaled by the bytes that a piece covers
+        self.weight = np.exp(weights[self.piece] + SCALE * piece_sizes[self.piece])
+        self.by_end, self.by_start = (self._places(x) for x in (end, start))
+        self.forward = self._sums(1, range(1, KEPT + 1), self.by_end, self.start)
+
+    @staticmethod
+    def _places(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Edges in the order of a place, and where each place's begin."""
+        return np.argsort(at.astype("u1"), kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(at, minlength=KEPT + 1))])
+
+    def _sums(self, first: np.ndarray | int, places: range, order: tuple[np.ndarray, np.ndarray], other: np.ndarray) -> np.ndarray:
+        """Sums of paths at every place of every word, from those at the edges' other ends."""
+        sums = np.zeros((KEPT + 1) * self.n)
+        sums[first if isinstance(first, np.ndarray) else slice(self.n)] = 1
+        edges, begins = order
+        for place in places:
+            here = edges[begins[place] : begins[place + 1]]
+            if len(here):
+                row = slice(place * self.n, (place + 1) * self.n)
+                sums[row] += np.bincount(self.word[here], sums[other[here]] * self.weight[here], self.n)
+        return sums
+
+    @property
+    def last(self) -> np.ndarray:
+        return self.sizes * self.n + np.arange(self.n)
+
+    def logs(self) -> np.ndarray:
+        """Natural log of each word's summed probability; NaN where the sum is too small for a plain number."""
+        whole = self.forward[self.last]
+        with np.errstate(divide="ignore"):
+            return np.where(whole > SAFE, np.log(whole) - SCALE * self.sizes, np.nan)
+
+    def expected(self, counts: np.ndarray) -> None:
+        """Add the expected number of each piece in all words, but for those whose log is NaN, to counts."""
+        backward = self._sums(self.last, range(KEPT - 1, -1, -1), self.by_start, self.end)
+        whole = self.forward[self.last]
+        one = np.divide(1.0, whole, out=np.zeros(self.n), where=whole > SAFE)
+        share = self.forward[self.start] * self.weight * backward[self.end] * one[self.word]
+        counts[:-1] += np.bincount(self.piece, share, len(counts) - 1)
+
+
+def _edges_of(shared):
+    def find(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = Pieces(shared.value)
+        for batch in rows:
+            found = [plain.edges(b" " + w) if len(w) < KEPT else None for w in batch.column("word").to_pylist()]
+            yield pa.record_batch([*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, "edges"])
+
+    return find
+
+
+def with_edges(counts: DataFrame, pieces: list[bytes]) -> DataFrame:
+    """word, c and edges (see Pieces.edges; null for a word of KEPT bytes or more) of every word."""
+    if len(pieces) >= 2**31 // KEPT:
+        raise ValueError(f"{len(pieces)} pieces do not fit into the numbers of edges")
+    shared = counts.sparkSession.sparkContext.broadcast(pieces)
+    return counts.select("word", "c").mapInArrow(_edges_of(shared), "word binary, c long, edges array<int>")
+
+
+class _Weighted:
+    """A task's pieces with their weights: lattices of batches, and single words, for which a dictionary is made when one comes."""
+
+    def __init__(self, pieces: list[bytes], weights: np.ndarray):
+        self.pieces, self.weights, self._plain = pieces, weights, None
+        self.piece_sizes = np.fromiter(map(len, pieces), "i8", len(pieces))
+
+    @property
+    def plain(self) -> Pieces:
+        if self._plain is None:
+            self._plain = Pieces(self.pieces, self.weights)
+        return self._plain
+
+    def lattices(self, batch: pa.RecordBatch) -> tuple[Lattices, np.ndarray, list[tuple[int, bytes]]]:
+        """The batch's lattices, the logs of their sums, and the words (with their places) that have none."""
+        edges = batch.column("edges")
+        sizes = np.minimum(pc.binary_length(batch.column("word")).to_numpy().astype("i8") + 1, KEPT)
+        per_word = pc.fill_null(pc.list_value_length(edges), 0).to_numpy()
+        found = Lattices(sizes, per_word, edges.flatten().to_numpy().astype("i8"), self.piece_sizes, self.weights)
+        logs = found.logs()
+        return found, logs, [(i, batch.column("word")[i].as_py()) for i in np.flatnonzero(np.isnan(logs)).tolist()]
+
+
+def _expected(shared, weights: np.ndarray):
     def expect(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, float] = {}
+        model = _Weighted(shared.value, weights)
+        counts, single = np.zeros(len(weights)), {}
         for batch in rows:
-            for word in batch.column("word").to_pylist():
-                guess.expect(word, counts)
-        if counts:
-            yield pa.record_batch([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.float64())], names=["piece", "n"])
+            found, _, rest = model.lattices(batch)
+            found.expected(counts)
+            for _, word in rest:
+                model.plain.expect(word, single)
+        for k, n in single.items():
+            counts[k] += n
+        some = np.flatnonzero(counts)
+        yield pa.record_batch([pa.array(some.astype("i4")), pa.array(counts[some])], names=["piece", "n"])
 
     return expect
 
 
-def piece_weights(counts: DataFrame, pieces: list[bytes], prior: float = PIECE_PRIOR) -> np.ndarray:
-    """Natural log weights of all pieces and, last, of the end.
-
-    Every distinct word counts once, as the pieces are for words that are rare or new.
-    """
-    weights = None
+def fitted(edges: DataFrame, pieces: list[bytes], prior: float = PIECE_PRIOR) -> np.ndarray:
+    """piece_weights from a written table of edges."""
+    shared = edges.sparkSession.sparkContext.broadcast(pieces)
+    weights = np.full(len(pieces) + 1, -math.log(len(pieces) + 1))
     for _ in range(ROUNDS):
-        expected = counts.select("word").mapInArrow(_expected(Pieces(pieces, weights)), "piece int, n double")
+        expected = edges.select("word", "edges").mapInArrow(_expected(shared, weights), "piece int, n double")
         rows = expected.groupBy("piece").agg(F.sum("n").alias("n")).toPandas()  # one row per piece
         n = np.zeros(len(pieces) + 1)
         n[rows["piece"].to_numpy(dtype=int)] = rows["n"].to_numpy()
@@ -196,8 +311,34 @@ def piece_weights(counts: DataFrame, pieces: list[bytes], prior: float = PIECE_P
     return weights
 
 
-def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
-    """The words of the highest counts, at most so many: all words above one count, of HEAD_BYTES at most."""
+def piece_weights(counts: DataFrame, pieces: list[bytes], prior: float = PIECE_PRIOR) -> np.ndarray:
+    """Natural log weights of all pieces and, last, of the end.
+
+    Every distinct word counts once, as the pieces are for words that are rare or new.
+    """
+    return fitted(written(with_edges(counts, pieces), "lattice-edges"), pieces, prior)
+
+
+def _word_logs(shared, weights: np.ndarray):
+    def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _Weighted(shared.value, weights)
+        for batch in rows:
+            _, logs, rest = model.lattices(batch)
+            for i, word in rest:
+                logs[i] = model.plain.word(word)
+            yield pa.record_batch([batch.column("word"), batch.column("c"), pa.array(logs)], names=["word", "c", "lattice"])
+
+    return score
+
+
+def word_logs(edges: DataFrame, pieces: list[bytes], weights: np.ndarray) -> DataFrame:
+    """word, c and lattice, the natural log of the word's probability by pieces."""
+    shared = edges.sparkSession.sparkContext.broadcast(pieces)
+    return edges.mapInArrow(_word_logs(shared, weights), "word binary, c long, lattice double")
+
+
+def head_rows(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame | None:
+    """The rows of the highest counts, at most so many: all words above one count, of HEAD_BYTES at most."""
     counts = counts.where(F.length("word") <= HEAD_BYTES)
     tiers = counts.groupBy(F.least("c", F.lit(1 << 16)).alias("c")).count().orderBy(F.desc("c")).collect()  # 65536 rows at most
     least, sum_ = None, 0
@@ -206,31 +347,34 @@ def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
         if sum_ > most:
             break
         least = tier["c"]
-    if least is None:
+    return None if least is None else counts.where(F.col("c") >= least)
+
+
+def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
+    """The words of head_rows with their counts."""
+    rows = head_rows(counts, most)
+    if rows is None:
         return {}
-    head = counts.where(F.col("c") >= least).toPandas()
+    head = rows.toPandas()
     return dict(zip(map(bytes, head["word"]), head["c"].tolist(), strict=True))
 
 
 class Model:
     """Base and model log10 probabilities of a word by its training count."""
 
-    def __init__(self, pieces: Pieces, total: int, distinct: int, discount: float):
+    def __init__(self, pieces: Pieces | None, total: int, distinct: int, discount: float):
         self.pieces, self.total, self.distinct, self.discount = pieces, total, distinct, discount
         # natural log of the mass that the discounts leave to the pieces
         self.left = math.log(discount * distinct / total) if total else 0.0
 
-    def base(self, c: int) -> float:
-        return math.log10((c + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
+    def base(self, c: np.ndarray | int) -> np.ndarray:
+        return np.log10((np.asarray(c) + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
-    def mixed(self, c: int, lattice: float) -> float:
+    def mixed(self, c: np.ndarray | int, lattice: np.ndarray | float) -> np.ndarray:
         """log10 of the count's share less the discount plus the pieces' share."""
-        by_pieces = self.left + lattice
-        if c <= 0:
-            return by_pieces / LOG10
-        by_count = math.log((c - self.discount) / self.total)
-        high, low = max(by_count, by_pieces), min(by_count, by_pieces)
-        return (high + math.log1p(math.exp(low - high))) / LOG10
+        c, by_pieces = np.asarray(c, float), self.left + np.asarray(lattice)
+        by_count = np.log(np.where(c > 0, c - self.discount, 1) / max(1, self.total))
+        return np.where(c > 0, np.logaddexp(by_count, by_pieces), by_pieces) / LOG10
 
 
 def _document_rows(shared):
@@ -259,23 +403,22 @@ def _document_rows(shared):
     return score
 
 
-def _tail_rows(model: Model):
+def _tail_rows(model: Model, shared, weights: np.ndarray):
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, tuple[float, float, float]] = {}
+        pieces, seen = _Weighted(shared.value, weights), {}
         for batch in rows:
-            words, counts = batch.column("word").to_pylist(), batch.column("c").to_pylist()
+            c = pc.fill_null(batch.column("c"), 0).to_numpy()
+            lattice = batch.column("lattice").to_numpy(zero_copy_only=False).copy()
+            new = np.flatnonzero(c == 0)
             if len(seen) > REMEMBERED:
                 seen.clear()
-            out = np.empty((len(words), 3))
-            for i, (w, c) in enumerate(zip(words, counts, strict=True)):
+            for i, w in zip(new.tolist(), batch.column("word").take(pa.array(new)).to_pylist(), strict=True):
                 if (found := seen.get(w)) is None:
-                    lattice = model.pieces.word(w)
-                    found = seen[w] = (model.base(c or 0), model.mixed(c or 0, lattice), lattice / LOG10)
-                out[i] = found
+                    found = seen[w] = pieces.plain.word(w)
+                lattice[i] = found
             n = batch.column("n").to_numpy()
-            out *= n[:, None]
-            known = np.where([bool(c) for c in counts], n, 0)
-            yield pa.record_batch([batch.column("uid"), *[pa.array(out[:, i]) for i in range(3)], pa.array(known)], names=["uid", "base", "score", "lattice", "known"])
+            out = [model.base(c) * n, model.mixed(c, lattice) * n, lattice / LOG10 * n]
+            yield pa.record_batch([batch.column("uid"), *map(pa.array, out), pa.array(np.where(c > 0, n, 0))], names=["uid", "base", "score", "lattice", "known"])
 
     return score
 
@@ -293,26 +436,32 @@ def likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divi
         path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     spark = docs.sparkSession
     training = docs.where(id_remainder(F.col(doc_id), divisor) != remainder)
-    counts = written(word_counts(training, text), "lattice-counts")
+    pieces = vocabulary(path)
+    counts = written(with_edges(word_counts(training, text), pieces), "lattice-edges")
     ends = training.count()
     words, tokens, ones, twos = counts.agg(F.count("*"), F.sum("c"), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
     total, distinct = (tokens or 0) + ends, words + bool(ends)
     discount = min(0.95, max(0.05, (ones or 0) / max(1, (ones or 0) + 2 * (twos or 0))))
-    pieces = vocabulary(path)
-    model = Model(Pieces(pieces, piece_weights(counts, pieces) if words else None), total, distinct, discount)
-
-    head = head_of(counts, head_words)
-    end = (model.base(ends), model.mixed(ends, model.pieces.end), model.pieces.end / LOG10)
-    values = np.array([(*end, float(ends > 0)), *[(model.base(c), model.mixed(c, x := model.pieces.word(w)), x / LOG10, 1.0) for w, c in head.items()]])
-    shared = spark.sparkContext.broadcast(({w: i + 1 for i, w in enumerate(head)}, values))
+    weights = fitted(counts, pieces) if words else np.full(len(pieces) + 1, -math.log(len(pieces) + 1))
+    counts = written(word_logs(counts, pieces, weights), "lattice-words")
+    model, end = Model(None, total, distinct, discount), float(weights[-1])
+
+    places, c, lattice = {}, np.array([ends]), np.array([end])
+    if (head := head_rows(counts, head_words)) is not None:
+        head = head.toPandas()
+        places = {bytes(w): i + 1 for i, w in enumerate(head["word"])}
+        c, lattice = np.concatenate([c, head["c"]]), np.concatenate([lattice, head["lattice"]])
+    values = np.column_stack([model.base(c), model.mixed(c, lattice), lattice / LOG10, c > 0])
+    shared = spark.sparkContext.broadcast((places, values))
 
     numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text"))
     rows = written(
         numbered.mapInArrow(_document_rows(shared), "uid long, doc_id long, word binary, n long, base double, score double, lattice double, known long"),
         "lattice-rows",
     )
+    known = spark.sparkContext.broadcast(pieces)
     tail = rows.where("word is not null").select("uid", "word", "n")
-    scored = tail.join(counts, "word", "left").select("uid", "word", "n", "c").mapInArrow(_tail_rows(model), "uid long, base double, score double, lattice double, known long")
+    scored = tail.join(counts, "word", "left").select("uid", "word", "n", "c", "lattice").mapInArrow(_tail_rows(model, known, weights), "uid long, base double, score double, lattice double, known long")
     sums = scored.groupBy("uid").agg(*[F.sum(c).alias(f"tail_{c}") for c in ("base", "score", "lattice", "known")])
     heads = rows.where("word is null").select("uid", "doc_id", "n", "base", "score", "lattice", "known")
     both = lambda c: F.col(c) + F.coalesce(F.col(f"tail_{c}"), F.lit(0))
