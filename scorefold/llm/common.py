@@ -36,8 +36,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 ROW = "__row"
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """df with a column that names each row, the same in every read of it.
+def free(name: str, *tables: DataFrame) -> str:
+    """name, behind so many underscores that no column of the tables has it (case ignored)."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def numbered(df: DataFrame, name: str, row: str = ROW) -> DataFrame:
+    """df with a column `row` that names each row, the same in every read of it.
 
     Rows of Parquet files are named by the hash of their file's path and their place
     in it, which needs no copy; any other table is written once with numbers.
@@ -45,11 +53,11 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     if df._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation"):
         try:
             place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
-            return df.select("*", place.alias(ROW))
+            return df.select("*", place.alias(row))
         except AnalysisException:
             pass  # files of another format have no row_index
     place = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))
-    return written(df.withColumn(ROW, place), name)
+    return written(df.withColumn(row, place), name)
 
 
 def id_remainder(doc_id: Column, divisor: int) -> Column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorefold.llm.common import ROW, SPACES, bits_for, numbered, shuffle_partitions, small, written
+from scorefold.llm.common import ROW, SPACES, bits_for, free, numbered, shuffle_partitions, small, written
 
 #: Bits of the quotient; fingerprints that a task holds before it emits its filter; rows per merged part.
 QUOTIENT_BITS = 32
@@ -158,6 +158,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ui
 
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    rows = numbered(docs, "dedup-numbered")
-    dropped = exact_groups(rows, doc_id, text, uid=F.col(ROW)).where("not kept").select(F.col("uid").alias(ROW))
-    return rows.join(dropped, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = free(ROW, docs)
+    rows = numbered(docs, "dedup-numbered", row)
+    dropped = exact_groups(rows, doc_id, text, uid=F.col(row)).where("not kept").select(F.col("uid").alias(row))
+    return rows.join(dropped, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorefold.llm.common import ROW, WORD, numbered, written
+from scorefold.llm.common import ROW, WORD, free, numbered, written
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 256
@@ -138,7 +138,7 @@ def mix(
         sized.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"))
         .select("source_key", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("words_before"))
     )
-    within = Window.partitionBy("source_key", "bucket").orderBy("order_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("source_key", "bucket").orderBy("order_key", "doc_id", "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         sized.where("size > 0").join(buckets, ["source_key", "bucket"])
         .withColumn("begin", F.col("words_before") + F.sum("size").over(within) - F.col("size"))
@@ -177,15 +177,16 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_w
 
     A document that the end of its source's target cuts keeps the words before the cut.
     """
-    rows = numbered(docs, "mix-numbered")
-    mixed = mix(rows, weights=weights, block_words=block_words, cap=cap, uid=F.col(ROW))
-    copies = mixed.schedule.groupBy("uid", "epoch").agg(F.sum("length").alias("__words"))
+    row, words, size = (free(x, docs) for x in (ROW, "__words", "__size"))
+    rows = numbered(docs, "mix-numbered", row)
+    mixed = mix(rows, weights=weights, block_words=block_words, cap=cap, uid=F.col(row))
+    copies = mixed.schedule.groupBy("uid", "epoch").agg(F.sum("length").alias(words))
     sizes = mixed.documents.select("uid", "size")
-    kept = copies.join(sizes, "uid").select(F.col("uid").alias(ROW), "__words", F.col("size").alias("__size"))
+    kept = copies.join(sizes, "uid").select(F.col("uid").alias(row), words, F.col("size").alias(size))
     # pieces that each end with a word, so the first n pieces hold the first n words
     pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)
-    cut = F.when(F.col("__words") < F.col("__size"), F.array_join(F.slice(pieces, F.lit(1), F.col("__words").cast("int")), "")).otherwise(F.col("text"))
-    out = rows.join(kept, ROW).withColumn("text", cut)
+    cut = F.when(F.col(words) < F.col(size), F.array_join(F.slice(pieces, F.lit(1), F.col(words).cast("int")), "")).otherwise(F.col("text"))
+    out = rows.join(kept, row).withColumn("text", cut)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__words") < F.col("__size"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(words) < F.col(size), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

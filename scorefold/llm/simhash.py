@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorefold.llm.common import ROW, bits_for, numbered, texts, word_bytes, written
+from scorefold.llm.common import ROW, bits_for, free, numbered, texts, word_bytes, written
 from scorefold.llm.components import components
 
 SHINGLE = 3
@@ -228,6 +228,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bud
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
     """The rows of docs, one of every group of near copies (smallest id), with all their columns."""
-    rows = numbered(docs, "simhash-numbered")
-    dropped = near_copies(rows, doc_id, text, budget, uid=F.col(ROW)).where("not first").select(F.col("uid").alias(ROW))
-    return rows.join(dropped, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = free(ROW, docs)
+    rows = numbered(docs, "simhash-numbered", row)
+    dropped = near_copies(rows, doc_id, text, budget, uid=F.col(row)).where("not first").select(F.col("uid").alias(row))
+    return rows.join(dropped, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,6 +3,8 @@
 import re
 import zlib
 
+from pyspark.sql import functions as F
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, uid long, size string, kept double, score string, word int, label string"
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
 SHARED = " ".join(f"shared{i}" for i in range(60))
@@ -24,8 +26,13 @@ def documents():
     return rows
 
 
+#: Columns named as the operators name their own.
+OWN_NAMES = ["__row", "__words", "__size", "__SCORE", "___row", "__text"]
+
+
 def make(spark, rows=None, schema=SCHEMA):
-    return spark.createDataFrame(documents() if rows is None else rows, schema).repartition(3)
+    docs = spark.createDataFrame(documents() if rows is None else rows, schema)
+    return docs.withColumns({c: F.lit(f"own {c}") for c in OWN_NAMES}).repartition(3)
 
 
 def words(text):
