@@ -27,36 +27,92 @@ from pyspark.sql import functions as F
 
 from scorefold.llm.common import ROW, SPACES, bits_for, free, numbered, shuffle_partitions, small, written
 
-#: Bits of the quotient; fingerprints that a task holds before it emits its filter; rows per merged part.
-QUOTIENT_BITS = 32
+#: A filter's head: bits of the prefix and of a remainder, slots, prefix.  Slots (a multiple of 8) that are packed together.
+HEAD = struct.Struct("<BBqQ")
+STRIDE = 1 << 16
+#: Fingerprints that a task holds before it emits its filter; rows per merged part.
 HOLD = 1_000_000
 PART_ROWS = 1 << 20
 #: Repeated fingerprints (16 bytes each) are broadcast up to this many, else joined by shuffle.
 BROADCAST_ROWS = 500_000
 
 
-def filter_of(fingerprints: np.ndarray, counts: np.ndarray, quotient_bits: int = QUOTIENT_BITS) -> bytes:
-    """A counting quotient filter over distinct sorted uint64 fingerprints with their counts."""
-    low = np.uint64(64 - quotient_bits)
-    quotients = fingerprints >> low
-    remainders = fingerprints & ((np.uint64(1) << low) - np.uint64(1))
-    occupied, runs = np.unique(quotients, return_counts=True)
-    head = struct.pack("<iii", quotient_bits, len(occupied), len(remainders))
-    width = np.uint32 if quotient_bits >= 32 else np.uint64
-    parts = (occupied.astype("<u8"), runs.astype("<u4"), remainders.astype(width), counts.astype("<i8"))
-    return head + b"".join(x.tobytes() for x in parts)
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """The lowest `width` bits of each value, one after the other."""
+    out = []
+    for at in range(0, len(values), STRIDE):
+        bits = np.unpackbits(values[at : at + STRIDE].astype(">u8").view("u1").reshape(-1, 8), axis=1)
+        out.append(np.packbits(bits[:, 64 - width :]))
+    return b"".join(x.tobytes() for x in out)
+
+
+def _unpacked(data: memoryview, width: int, n: int) -> np.ndarray:
+    out = np.zeros(n, "u8")
+    for at in range(0, n, STRIDE):
+        some = min(STRIDE, n - at)
+        bits = np.zeros((some, 64), "u1")
+        begin = at * width // 8
+        bits[:, 64 - width :] = np.unpackbits(np.frombuffer(data, "u1", -(-some * width // 8), begin), count=some * width).reshape(some, width)
+        out[at : at + some] = np.packbits(bits, axis=1).view(">u8").ravel()
+    return out
+
+
+def filter_of(fingerprints: np.ndarray, counts: np.ndarray, prefix_bits: int = 0) -> bytes:
+    """A counting quotient filter over distinct sorted uint64 fingerprints with their counts.
+
+    The first prefix_bits are the same in all fingerprints and stored once.  A quotient names
+    a slot; remainders of one quotient are a run of slots in ascending order, which begins at its
+    own slot or, if that is taken, after the runs before it (the last ones may lie beyond the last
+    quotient).  Every slot has an occupied, a continuation and a shifted bit, and a counter bit:
+    slots with it hold the digits of the count less two of the remainder before them.
+    """
+    bits = 64 - prefix_bits
+    # one slot for a remainder, and room for the digits of counts; 90% of the slots are taken at most
+    quotient_bits = min(bits - 1, max(1, int(np.ceil(np.log2((len(counts) + 2 * np.count_nonzero(counts > 1) + 1) / 0.9)))))
+    width = bits - quotient_bits
+    prefix = int(fingerprints[0]) >> bits if prefix_bits and len(fingerprints) else 0
+    own = fingerprints & np.uint64((1 << bits) - 1)
+    digits = np.zeros(len(counts), "i8")
+    more = (counts - 2).astype("i8")
+    left = np.where(counts > 1, more, -1)
+    while (open_ := left >= 0).any():
+        digits += open_
+        left = np.where(open_ & (left >> width > 0), left >> width, -1) if width < 63 else np.full(len(left), -1)
+    entry = np.repeat(np.arange(len(counts)), 1 + digits)
+    nth = np.arange(len(entry)) - np.repeat(np.cumsum(1 + digits) - 1 - digits, 1 + digits)  # 0: the remainder, then its digits
+    quotient = (own >> np.uint64(width)).astype("i8")[entry]
+    place = np.arange(len(entry))
+    slot = np.maximum.accumulate(quotient - place) + place
+    slots = max(1 << quotient_bits, int(slot[-1]) + 1 if len(slot) else 0)
+    low = np.uint64((1 << width) - 1)
+    held = np.zeros(slots, "u8")
+    digit = more[entry] >> np.minimum(63, np.maximum(0, nth - 1) * width)
+    held[slot] = np.where(nth == 0, own[entry], digit.astype("u8")) & low
+    flags = np.zeros((4, slots), "u1")
+    flags[0, quotient] = 1
+    flags[1, slot[1:]] = quotient[1:] == quotient[:-1]
+    flags[2, slot] = slot != quotient
+    flags[3, slot] = nth > 0
+    return HEAD.pack(prefix_bits, width, slots, prefix) + np.packbits(flags, axis=1).tobytes() + _packed(held, width)
 
 
 def entries_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The sorted fingerprints and counts that a filter holds."""
-    quotient_bits, occupied_n, n = struct.unpack_from("<iii", data)
-    at = 12
-    occupied = np.frombuffer(data, "<u8", occupied_n, at)
-    runs = np.frombuffer(data, "<u4", occupied_n, at := at + 8 * occupied_n)
-    width = np.dtype(np.uint32 if quotient_bits >= 32 else np.uint64)
-    remainders = np.frombuffer(data, width, n, at := at + 4 * occupied_n)
-    counts = np.frombuffer(data, "<i8", n, at + width.itemsize * n)
-    return (np.repeat(occupied, runs) << np.uint64(64 - quotient_bits)) | remainders.astype(np.uint64), counts
+    prefix_bits, width, slots, prefix = HEAD.unpack_from(data)
+    at, row = HEAD.size, -(-slots // 8)
+    occupied, continuation, shifted, counter = np.unpackbits(np.frombuffer(data, "u1", 4 * row, at).reshape(4, row), axis=1, count=slots).astype(bool)
+    used = np.flatnonzero(occupied | continuation | shifted)
+    held = _unpacked(memoryview(data)[at + 4 * row :], width, slots)[used]
+    # the n-th run is that of the n-th occupied quotient
+    quotient = np.flatnonzero(occupied)[np.cumsum(~continuation[used]) - 1].astype("u8")
+    digit = counter[used]
+    entry = np.cumsum(~digit) - 1
+    nth = np.arange(len(used)) - np.flatnonzero(~digit)[entry] if len(used) else entry
+    counts = np.ones(int((~digit).sum()), "i8")
+    np.add.at(counts, entry[digit & (nth == 1)], 1)
+    np.add.at(counts, entry[digit], held[digit].astype("i8") << np.minimum(63, (nth[digit] - 1) * width))
+    values = (quotient[~digit] << np.uint64(width)) | held[~digit]
+    return values | np.uint64(prefix << (64 - prefix_bits) if prefix_bits else 0), counts
 
 
 def counted(fingerprints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,10 +123,29 @@ def counted(fingerprints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
     return fingerprints[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _merged(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two ordered lists of fingerprints with counts as one, without sorting."""
+    (a, n), (b, m) = x, y
+    if not len(a) or not len(b):
+        return y if len(b) else x
+    at = np.searchsorted(a, b)
+    same = a[np.minimum(at, len(a) - 1)] == b
+    n = n.copy()
+    n[at[same]] += m[same]
+    return np.insert(a, at[~same], b[~same]), np.insert(n, at[~same], m[~same])
+
+
+def merged_entries(filters: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints of all filters in order, with the sums of their counts: neighbours are merged until one list is left."""
+    lists = [entries_of(x) for x in filters]
+    while len(lists) > 1:
+        lists = [_merged(*lists[i : i + 2]) if i + 1 < len(lists) else lists[i] for i in range(0, len(lists), 2)]
+    return lists[0]
+
+
 def merged(filters: list[bytes]) -> bytes:
-    """One filter with what all of them hold."""
-    parts = [entries_of(x) for x in filters]
-    return filter_of(*counted(np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])))
+    """One filter with what all of them hold; they have one prefix."""
+    return filter_of(*merged_entries(filters), HEAD.unpack_from(filters[0])[0])
 
 
 def _filters(part_bits: int):
@@ -79,7 +154,7 @@ def _filters(part_bits: int):
         values, counts = counted(values, np.ones(len(values), "i8"))
         part = (values >> np.uint64(64 - part_bits)).astype("i8") if part_bits else np.zeros(len(values), "i8")
         edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
-        filters = [filter_of(values[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        filters = [filter_of(values[a:b], counts[a:b], part_bits) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return pa.record_batch([pa.array(part[edges[:-1]]), pa.array(filters, pa.binary())], names=["part", "filter"])
 
     def build(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +172,7 @@ def _filters(part_bits: int):
 
 
 def _repeated(group: pd.DataFrame) -> pd.DataFrame:
-    values, counts = entries_of(merged(list(group["filter"])))
+    values, counts = merged_entries(list(group["filter"]))
     return pd.DataFrame({"fingerprint": values[counts > 1].view("i8"), "copies": counts[counts > 1]})
 
 

@@ -20,6 +20,29 @@ def test_filters_merge_without_loss(parts):
     assert (np.diff(values.astype(object)) > 0).all()
 
 
+@given(st.lists(st.tuples(st.integers(0, 2**54 - 1), st.sampled_from([1, 2, 3, 4, 5, 1000, 2**40, 2**62])), max_size=60), st.sampled_from([0, 3, 10]))
+def test_filters_keep_any_counts(entries, prefix_bits):
+    top = 5 % (1 << prefix_bits) << (64 - prefix_bits)
+    held = {top | x >> prefix_bits: n for x, n in entries}
+    values = np.array(sorted(held), "u8")
+    counts = np.array([held[int(v)] for v in values], "i8")
+    got = dedup.entries_of(dedup.filter_of(values, counts, prefix_bits))
+    assert got[0].tolist() == values.tolist() and got[1].tolist() == counts.tolist()
+
+
+def test_filters_of_many(spark):
+    """Crowded quotients, runs beyond the last slot, and less than half the bytes of plain entries."""
+    rnd = np.random.default_rng(5)
+    for values in (rnd.integers(0, 2**64 - 1, 200_000, "u8"), np.arange(2**64 - 3000, 2**64 - 1, dtype="u8"), np.arange(100_000, dtype="u8") << np.uint64(3)):
+        values = np.unique(values)
+        counts = rnd.integers(1, 4, len(values))
+        data = dedup.filter_of(values, counts)
+        got = dedup.entries_of(data)
+        assert (got[0] == values).all() and (got[1] == counts).all()
+    plain = np.unique(rnd.integers(0, 2**64 - 1, 100_000, "u8"))
+    assert len(dedup.filter_of(plain, np.ones(len(plain), "i8"))) < 10 * len(plain)
+
+
 def test_groups(spark):
     docs = make(spark)
     rows = dedup.exact_groups(docs).collect()
