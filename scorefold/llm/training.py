@@ -1,14 +1,18 @@
-"""Bounded samples of labelled rows, and a small logistic fit for them."""
+"""Labelled rows, all or a bounded sample, and logistic fits of few weights for them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorefold.llm.common import id_remainder, written
 
-#: Labelled rows that a classifier is fitted on at most, of each class; the rest of the labels is not used.
+#: Labelled rows that a sample has at most, of each class; the rest of the labels is not in it.
 SAMPLE_PER_CLASS = 10_000
 
 
@@ -17,6 +21,19 @@ def held_out(doc_id: Column, divisor: int, remainder: int) -> Column:
     return doc_id.isNotNull() & (id_remainder(doc_id, divisor) == remainder)
 
 
+def training_labels(labels: DataFrame, label: str, divisor: int, remainder: int) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id, label of all labelled rows that are not held out, and how many each class has.
+
+    Rows without an id or a label are left out; of repeated labels the largest counts.
+    """
+    all_labels = (
+        labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull()).where(~held_out(F.col("doc_id"), divisor, remainder))
+        .groupBy("doc_id").agg(F.max("label").alias("label"))
+    )
+    return all_labels, {int(x): n for x, n in all_labels.groupBy("label").count().collect() if x in (0, 1)}
+
+
 def training_sample(
     docs: DataFrame, labels: DataFrame, label: str, divisor: int, remainder: int, per_class: int = SAMPLE_PER_CLASS
 ) -> tuple[DataFrame, dict[int, int]]:
@@ -26,12 +43,7 @@ def training_sample(
     the largest counts, of repeated ids' texts the one with the smallest hash.  The
     sample takes the smallest hashes of ids, so it is the same in every run.
     """
-    all_labels = (
-        labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull()).where(~held_out(F.col("doc_id"), divisor, remainder))
-        .groupBy("doc_id").agg(F.max("label").alias("label"))
-    )
-    sizes = {int(x): n for x, n in all_labels.groupBy("label").count().collect() if x in (0, 1)}
+    all_labels, sizes = training_labels(labels, label, divisor, remainder)
     chosen = [all_labels.where(F.col("label") == x).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(per_class) for x in (0, 1)]
     ids = F.broadcast(chosen[0].union(chosen[1]))  # 2 * per_class rows at most
     texts = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -40,24 +52,53 @@ def training_sample(
     return written(rows.select("doc_id", F.col("least.text").alias("text"), "label"), f"sample-{label}"), sizes
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float, rounds: int = 50) -> np.ndarray:
-    """Weights w minimising the weighted logistic loss of x @ w plus penalty * |w|^2 / 2, by damped Newton steps."""
-    w = np.zeros(x.shape[1])
+def summed(rows: DataFrame, sums: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray | None:
+    """The sum of what sums gives for the batches; None without rows.  Every task hands out one short array."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                total = sums(batch) if total is None else total + sums(batch)
+        if total is not None:
+            yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["task", "total"])
+
+    found = rows.mapInArrow(add, "task int, total array<double>").collect()
+    return np.sum([r.total for r in sorted(found)], axis=0) if found else None
+
+
+def vectors(column: pa.Array, width: int) -> np.ndarray:
+    """A column of arrays of one length as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
 
-    def loss(v: np.ndarray) -> float:
-        z = x @ v
-        return float(weight @ (np.logaddexp(0, z) - y * z) + penalty * v @ v / 2)
+def newton(sums: Callable[[np.ndarray], tuple], size: int, penalty: float, rounds: int = 50) -> np.ndarray:
+    """Weights w minimising a convex loss plus penalty * |w|^2 / 2 by damped steps; sums gives loss, gradient and curvature at w."""
 
-    now = loss(w)
+    def at(w: np.ndarray) -> tuple:
+        loss, gradient, curve = sums(w)
+        return float(loss + penalty * w @ w / 2), gradient + penalty * w, curve + penalty * np.eye(size)
+
+    w = np.zeros(size)
+    now = at(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        gradient = x.T @ (weight * (p - y)) + penalty * w
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w))
-        step, size = np.linalg.solve(curve, gradient), 1.0
-        while size > 1e-6 and loss(w - size * step) > now:
-            size /= 2
-        after = loss(w - size * step)
-        if now - after < 1e-9 * max(1.0, abs(now)):
+        step, part = np.linalg.solve(now[2], now[1]), 1.0
+        after = at(w - step)
+        while part > 1e-6 and after[0] > now[0]:
+            part /= 2
+            after = at(w - part * step)
+        if now[0] - after[0] < 1e-9 * max(1.0, abs(now[0])):
             break
-        w, now = w - size * step, after
+        w, now = w - part * step, after
     return w
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float, rounds: int = 50) -> np.ndarray:
+    """Weights w minimising the weighted logistic loss of x @ w plus penalty * |w|^2 / 2."""
+
+    def sums(w: np.ndarray) -> tuple:
+        z = x @ w
+        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        return weight @ (np.logaddexp(0, z) - y * z), x.T @ (weight * (p - y)), (x * (weight * p * (1 - p))[:, None]).T @ x
+
+    return newton(sums, x.shape[1], penalty, rounds)

@@ -134,3 +134,41 @@ def test_ranking_prefers_the_better():
     z = (x - r.centre) / r.scale @ np.array(r.weights) - r.threshold
     assert ((z >= 0) == (y == 1)).mean() > 0.95
     assert np.allclose(logistic(np.zeros((0, 2)), np.zeros(0), np.zeros(0), 1.0), 0)
+
+
+def test_ranking_learns_from_all_labels(spark):
+    """More labels of each class than a sample would hold: the ranking is that of all rows."""
+    rnd = random.Random(11)
+    rows = [(i, " ".join(rnd.choice(["ab", "Cd", "e!", "f.", "#", "long" * rnd.randrange(1, 4)]) for _ in range(rnd.randrange(1, 12)))) for i in range(36_000)]
+    labels = [(i, int(t.count("#") + t.count("!") + rnd.random() < 2.2)) for i, t in rows]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    own = [(quality.features(t), y) for (i, t), (_, y) in zip(rows, labels, strict=True) if remainder(i, 3) != 1]
+    y = np.array([y for _, y in own])
+    assert min((y == 0).sum(), (y == 1).sum()) > 11_000
+    expected = quality.fit(np.array([x for x, _ in own]), y, {0: int((y == 0).sum()), 1: int((y == 1).sum())})
+    for shape in (docs, docs.repartition(7)):
+        got = quality.fit_ranking(shape, marks)
+        assert all(np.allclose(a, b, rtol=1e-6, atol=1e-9) for a, b in zip(got[:3], expected[:3], strict=True))
+        assert abs(got.threshold - expected.threshold) < 2e-3
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_threshold_is_the_weighted_quantile(spark, few):
+    rnd = np.random.default_rng(2)
+    for bad, good, sizes in ((40, 60, {0: 40, 1: 60}), (3, 50, {0: 300, 1: 50}), (50, 2, {0: 50, 1: 9}), (1, 1, {0: 1, 1: 1})):
+        for s in (rnd.normal(size=bad + good), rnd.integers(0, 4, bad + good).astype(float)):
+            label = np.r_[np.zeros(bad, int), np.ones(good, int)]
+            order = sorted(range(len(s)), key=lambda i: (s[i], label[i]))
+            below = np.cumsum([sizes[1] * bad if label[i] else sizes[0] * good for i in order])
+            at = min(int(np.argmax(below >= sizes[0] * good * bad)), len(s) - 2)
+            table = spark.createDataFrame([(int(y), float(v)) for y, v in zip(label, s, strict=True)], "label int, strength double")
+            assert quality.threshold(table, sizes, good, bad, few) == (s[order[at]] + s[order[at + 1]]) / 2
+
+
+@pytest.mark.parametrize("good, bad", [(7, 3), (3, 7), (5, 5), (1, 6)])
+def test_pairs_are_those_of_the_plain_fit(spark, good, bad):
+    rows = [(y, i, [100.0 * y + i, *[0.0] * (quality.FEATURES - 1)]) for y, n in ((1, good), (0, bad)) for i in range(n)]
+    got = quality.drawn_pairs(spark.createDataFrame(rows, "label int, at long, z array<double>"), good, bad).collect()
+    n = max(good, bad)
+    expected = [100.0 + i % good - (i + k * 7919 % n) % bad for i in range(n) for k in range(quality.PAIRS)]
+    assert sorted(r.difference[0] for r in got) == sorted(expected)
