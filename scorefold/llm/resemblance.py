@@ -2,12 +2,16 @@
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word
 shingles, over the whole texts, is 0.8 or more; groups are what such pairs connect.
-Texts with equal sets become one value first.  A value's MinHash signature is cut
-into bands; values with an equal band share a bucket and are candidates.  Every
+Texts with equal sets become one value first.  A value has a SimHash fingerprint of
+its set; fingerprints within the bit budget are found by walking tries, as `simhash`
+does, and every value of such a component is a candidate with its smallest one.  A
+value's MinHash signature is cut into bands; values with an equal band share a bucket
+and are candidates too, as most pairs of similarity 0.8 differ in more bits.  Every
 candidate is compared on the whole sets, in the task that finds it:
 
-* each value is compared with one value of each of its buckets (CENTRES different ones
-  at most), which joins a large group of near copies in linear work;
+* each value is compared with the smallest value of its SimHash component and with one
+  value of each of its buckets (CENTRES different ones at most), which joins a large
+  group of near copies in linear work;
 * values of a bucket that are still in different groups are then compared with each
   other, if their signatures agree in enough places: blocks of bounded size that hold
   the sets meet in pairs, and a task forgets what it has linked already.
@@ -35,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorefold.llm import simhash
 from scorefold.llm.common import ROW, free, numbered, small, texts, word_bytes, written
 from scorefold.llm.components import components
 from scorefold.llm.repeats import _WORD_BASE, _mixed, _Rolling, word_hashes
@@ -71,6 +76,14 @@ def signature(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def fingerprint(values: np.ndarray) -> int:
+    """The SimHash of a set of hashes as a signed 64-bit integer: a bit is one if it is set in over half of them."""
+    ones = np.zeros(64, "i8")
+    for at in range(0, len(values), 65_536):
+        ones += np.unpackbits(_mixed(values[at : at + 65_536]).astype("<u8").view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="i8")
+    return int(np.packbits(ones * 2 > len(values), bitorder="little").view("<i8")[0])
+
+
 def bands(places: np.ndarray) -> np.ndarray:
     """A hash of each band of a signature, which knows the band."""
     out = np.arange(1, BANDS + 1, dtype="u8")
@@ -98,16 +111,17 @@ def least_agreement(similarity: float = SIMILARITY) -> int:
 
 def _sketches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        keys, cut, places = [], [], []
+        keys, fps, cut, places = [], [], [], []
         for text in texts(batch.column("__text")):
             values = shingles(text)
             s = signature(values)
             keys.append(int(_mixed((_mixed(values).sum(dtype="u8") + np.array([len(values)], "u8"))).view("i8")[0]))
+            fps.append(fingerprint(values))
             cut.append(bands(s).view("i8"))
             places.append(s.astype("<u2").tobytes())
         yield pa.record_batch(
-            [batch.column("uid"), batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(cut, pa.list_(pa.int64())), pa.array(places, pa.binary())],
-            names=["uid", "doc_id", "key", "bands", "places"],
+            [batch.column("uid"), batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(fps, pa.int64()), pa.array(cut, pa.list_(pa.int64())), pa.array(places, pa.binary())],
+            names=["uid", "doc_id", "key", "fp", "bands", "places"],
         )
 
 
@@ -185,18 +199,32 @@ def _chunks(count: str, size: str, block: int):
     return F.ceil(F.greatest(F.col(count) / block, F.col(size) / BLOCK_BYTES)).cast("long")
 
 
-def near_components(values: DataFrame, sets, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+def simhash_centres(values: DataFrame) -> DataFrame:
+    """key, fp of distinct values -> centre, key: each value with the smallest one that fingerprints within the budget connect it to."""
+    fps = written(values.select("fp").distinct(), "near-fingerprints")
+    found = simhash.near_components(fps, fps.count()).withColumnRenamed("node", "fp")
+    grouped = written(values.select("key", "fp").join(found, "fp", "left").select("key", F.coalesce("root", "fp").alias("root")), "near-fingerprint-groups")
+    firsts = grouped.groupBy("root").agg(F.min("key").alias("centre"))
+    return grouped.join(firsts, "root").where("key <> centre").select("centre", "key")
+
+
+def near_components(values: DataFrame, sets, similarity: float = SIMILARITY, block: int = BLOCK, centres: DataFrame | None = None) -> DataFrame:
     """key, bands, places of distinct values -> node, root for every value that has a near copy.
 
-    sets gives key, values (the whole set) for a table of keys.
+    sets gives key, values (the whole set) for a table of keys; centres has further
+    candidates (centre, key), those of `simhash_centres`.
     """
     spread = values.select("key", F.posexplode("bands").alias("at", "band"))
     centre = F.min_by("key", F.xxhash64("key", F.col("at") % CENTRES)).alias("centre")
     buckets = spread.groupBy("band").agg(F.count("*").alias("n"), centre).where("n > 1")
     members = written(spread.hint("merge").join(buckets, "band"), "near-members")
-    whole = written(sets(members.select("key").distinct()), "near-sets")
-    # each value with its buckets' centres, in blocks round a centre
-    first = members.where("key <> centre").select("centre", "key").distinct()
+    # each value with its component's and its buckets' centres, in blocks round a centre
+    first, keys = members.where("key <> centre").select("centre", "key"), members.select("key")
+    if centres is not None:
+        first = first.union(centres)
+        keys = keys.union(centres.select("key")).union(centres.select("centre"))
+    whole = written(sets(keys.distinct()), "near-sets")
+    first = first.distinct()
     round_ = first.hint("merge").join(whole, "key")
     round_sizes = round_.groupBy("centre").agg(F.count("*").alias("count"), F.sum(F.length("values")).alias("bytes")).select("centre", _chunks("count", "bytes", block).alias("chunks"))
     blocks = (
@@ -226,16 +254,17 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sim
     rows = numbered(docs, "near-numbered", row)
     own = rows.select(F.col(row).alias("uid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text"))
     uid = dict(own.dtypes)["uid"]
-    sketches = written(own.mapInArrow(_sketches, f"uid {uid}, doc_id long, key long, bands array<long>, places binary"), "near-sketches")
+    sketches = written(own.mapInArrow(_sketches, f"uid {uid}, doc_id long, key long, fp long, bands array<long>, places binary"), "near-sketches")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("uid"))
-    values = written(sketches.groupBy("key").agg(F.min(order).alias("least"), F.first("bands").alias("bands"), F.first("places").alias("places")), "near-values")
+    values = written(sketches.groupBy("key").agg(F.min(order).alias("least"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("places").alias("places")), "near-values")
 
     def sets(keys: DataFrame) -> DataFrame:
         wanted = written(values.join(keys, "key").select("key", F.col("least.uid").alias("uid")), "near-wanted")
         found = own.join(small(wanted, wanted.count(), BROADCAST_ROWS), "uid")
         return found.select("key", "__text").mapInArrow(_sets, "key long, values binary")
 
-    found = near_components(values.select("key", "bands", "places"), sets, similarity)
+    centres = written(simhash_centres(values), "near-centres")
+    found = near_components(values.select("key", "bands", "places"), sets, similarity, centres=centres)
     groups = values.select("key", "least").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     groups = written(groups, "near-groups")
     firsts = groups.groupBy("root").agg(F.min("least").alias("least")).select("root", F.col("least.uid").alias("stays"))

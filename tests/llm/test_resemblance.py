@@ -79,3 +79,24 @@ def test_odd_rows(spark):
     rows = [(10**9 if r.doc_id is None else r.doc_id, r.text) for r in docs.collect()]
     assert sorted(10**9 if x is None else x for x in got) == brute_stays(rows)
     assert resemblance.one_of_each(make(spark, [])).count() == 0
+
+
+def test_simhash_links_are_candidates(spark):
+    """Near copies that fingerprints bring together are found without any equal band; what only fingerprints link is not dropped."""
+    text = [f"w{x}" for x in range(3000)]
+    rows = [(0, " ".join(text)), (1, " ".join([*text[:2990], *[f"x{x}" for x in range(10)]])), (2, " ".join(f"y{x}" for x in range(3000)))]
+    fps = [resemblance.fingerprint(resemblance.shingles(t)) & (2**64 - 1) for _, t in rows]
+    assert (fps[0] ^ fps[1]).bit_count() <= 3 < (fps[0] ^ fps[2]).bit_count()
+    for i, t in rows:
+        hashes = [int(x) for x in resemblance._mixed(resemblance.shingles(t))]
+        assert fps[i] == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    values = spark.createDataFrame([(i, f - 2**64 if f >= 2**63 else f) for i, f in enumerate(fps)] + [(3, 5), (4, 5)], "key long, fp long")
+    assert sorted(map(tuple, resemblance.simhash_centres(values).collect())) == [(0, 1), (3, 4)]
+    # every value has bands of its own, and the last two are no copies of each other
+    table = spark.createDataFrame([(i, [100 * i + b for b in range(25)], bytearray(2 * resemblance.PLACES)) for i in range(5)], "key long, bands array<long>, places binary")
+    sets = {i: resemblance.shingles(t) for i, t in rows} | {3: resemblance.shingles("one two"), 4: resemblance.shingles("three")}
+    whole = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in sets.items()], "key long, values binary")
+    found = resemblance.near_components(table, lambda keys: whole.join(keys, "key"), centres=resemblance.simhash_centres(values))
+    assert {r.node: r.root for r in found.collect()} == {0: 0, 1: 0}
+    assert sorted(r.doc_id for r in resemblance.one_of_each(docs).collect()) == [0, 2]
