@@ -149,7 +149,7 @@ def market_flatten(spark, d):
 def csv_folder(spark, d):
     """A folder of files by `;` and by `,`, with columns in other orders and some missing, and line breaks in names."""
     path, stats = scratch_path(spark, "folder"), inputs.stats(spark, d)
-    stats = stats.select("MaMH", F.concat("TenMH", F.lit("\n, one; two")).alias("TenMH"), "TB", "SD", F.col("F%"))
+    stats = durable(stats.select("MaMH", F.concat("TenMH", F.lit("\n, one; two")).alias("TenMH"), "TB", "SD", F.col("F%")))  # three files come from it
     shapes = {"a": (";", ["MaMH", "TenMH", "TB", "SD", "F%"]), "b": (",", ["F%", "TB", "MaMH"]), "c": (",", ["SD", "TenMH", "MaMH"])}
     for i, (name, (sep, columns)) in enumerate(shapes.items()):
         own = stats.filter(F.col("MaMH").cast("bigint") % 3 == i).select(*[casts.named(c) for c in columns])

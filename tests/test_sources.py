@@ -263,3 +263,20 @@ def test_folder_of_files_that_differ(spark, tmp_path):
     assert texts.columns == ["a", "b", "cd", "e"] and texts.where("e = 'only'").count() == 1
     (tmp_path / "none").mkdir()
     assert tables.read_folder(spark, str(tmp_path / "none"), "a int").collect() == []
+
+
+def test_folder_computes_its_table_once(spark, monkeypatch):
+    """csv_folder writes three tables of files, and derives the statistics behind them once."""
+    from scorefold.plans import inputs, registry
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    one = F.udf(counted, "string")
+    table = spark.createDataFrame([(str(i), f"n{i}", i / 2, 0.5, 1.0) for i in range(9)], "MaMH string, TenMH string, TB double, SD double, `F%` double")
+    monkeypatch.setattr(inputs, "stats", lambda spark, d: table.withColumn("TenMH", one("TenMH")))
+    got = sorted(map(tuple, registry.csv_folder(spark, "none").collect()))
+    assert len(got) == 9 and got[0] == ("0", "n0|, one; two", 0.0, 0.5, 1.0) and got[1] == ("1", None, 0.5, None, 1.0) and seen.value == 9
