@@ -16,6 +16,7 @@ other columns are not looked at.  Ties are broken by id and row.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,6 +40,9 @@ LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 REMEMBERED = 400_000
 #: Pre-tokens of pieces made of Latin letters, digits, ASCII marks and single line feeds (an apostrophe has rules of its own).
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[!-~À-ɏ])")
+#: Pieces that are one such pre-token of letters, and letters with marks behind them.
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+_MARKED = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
 _SPACE_BLANK = re.compile(r"\s ")
 
 
@@ -59,16 +63,29 @@ class Ids:
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.bytes_as_text = _byte_letters()
+        self.blank = self.bytes_as_text[32]
+
+    def _one(self, piece: str) -> bytes:
+        """The ids of one pre-token, straight from the model."""
+        if piece.isascii() and piece.isprintable():  # all but the blank stand for their own bytes
+            letters = piece.replace(" ", self.blank)
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.bytes_as_text)
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _new(self, piece: str) -> bytes:
+        if _LETTERS.fullmatch(piece):
+            return self._one(piece)
+        if marked := _MARKED.fullmatch(piece):
+            return b"".join(map(self._piece, marked.groups()))
         parts = _PLAIN.findall(piece)
         if "".join(parts) != piece:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
         if len(parts) > 1:
             return b"".join(map(self._piece, parts))
-        letters = piece.encode().decode("latin-1").translate(self.bytes_as_text)  # one pre-token, straight to the model
-        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        return self._one(piece)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.known.get(piece)
@@ -98,12 +115,17 @@ def _byte_letters() -> dict[int, str]:
 
 def pieces(text: str) -> list[str]:
     """The text cut before every blank that follows a character other than white space."""
-    first, *rest = text.split(" ")
-    rest = [f" {part}" for part in rest]
-    if not _SPACE_BLANK.search(text) and first:
-        return [first, *rest]
-    out = [first] if first else []
-    for part in rest:
+    if "\0" in text:
+        first, *rest = text.split(" ")
+        cut = [first, *[f" {part}" for part in rest]]
+    else:
+        cut = text.replace(" ", "\0 ").split("\0")
+    if not cut[0]:
+        del cut[0]
+    if not _SPACE_BLANK.search(text):
+        return cut
+    out: list[str] = []
+    for part in cut:
         if out and out[-1][-1].isspace():
             out[-1] += part
         else:

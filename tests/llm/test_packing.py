@@ -82,3 +82,22 @@ def test_documents(spark, tokenizer, group):
 
 def test_empty(spark):
     assert packing.packed_documents(make(spark, [])).count() == 0
+
+
+def test_new_words_skip_the_general_rule(tokenizer, monkeypatch):
+    """Words, with marks or without, go to the model by one match; nulls in a text change no cut."""
+    words = ["one", " two", " Über", " three,", " four!!", " \0five", "\0", " six seven", " it's", " 8th.", "\nnine\n", " \xa0x", " ǅz ɏ?"]
+    for w in words:
+        assert packing.Ids(PATH).of(w) == np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+    assert packing.pieces("a\0b c \0 d") == ["a\0b", " c", " \0", " d"] and packing.pieces(" a") == [" a"] and packing.pieces("") == []
+
+    class Never:
+        def findall(self, piece):
+            raise AssertionError(piece)
+
+    ids = packing.Ids(PATH)
+    ids.of("!! ,")
+    monkeypatch.setattr(packing, "_PLAIN", Never())
+    ids.known |= {m: np.array(tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ("!!", ",")}
+    text = "one two Über three, four!!"
+    assert ids.of(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
