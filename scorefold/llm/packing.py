@@ -24,10 +24,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorefold.llm.common import texts, written
+from scorefold.llm.common import written
 
 SEQUENCE = 2048
 END_ID = 1
@@ -38,12 +39,17 @@ BIN_BITS = 20
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 #: Pieces of text whose ids a worker remembers, twice.
 REMEMBERED = 400_000
+#: Bytes of texts whose words are looked up together.
+TOGETHER = 1 << 24
 #: Pre-tokens of pieces made of Latin letters, digits, ASCII marks and single line feeds (an apostrophe has rules of its own).
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[!-~À-ɏ])")
 #: Pieces that are one such pre-token of letters, and letters with marks behind them.
 _LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _MARKED = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
 _SPACE_BLANK = re.compile(r"\s ")
+#: White space in which a text may not be cut before each blank and around each line feed (RE2's \s knows ASCII only).
+_WHITE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNCUT = rf"{_WHITE} |\n{_WHITE}|{_WHITE}\n\z"
 
 
 class Ids:
@@ -51,7 +57,8 @@ class Ids:
 
     A text may be cut before every blank that follows a character other than white
     space: no token of the byte-level pre-tokenizer reaches over such a place, so the
-    pieces' ids joined are the text's ids.
+    pieces' ids joined are the text's ids.  A line feed that follows and precedes
+    characters other than white space is a token of its own.
     """
 
     def __init__(self, path: str):
@@ -105,6 +112,56 @@ class Ids:
             found = [self._piece(part) if ids is None else ids for part, ids in zip(parts, found, strict=True)]
         return b"".join(found)
 
+    def of_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, a null as an empty one; each word is looked up once in many texts."""
+        texts = texts.fill_null("")
+        sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+        ends, at = np.cumsum(sizes), 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + TOGETHER, "right")))
+            yield from self._together(texts.slice(at, stop - at))
+            at = stop
+
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        uncut = pc.or_(pc.match_substring_regex(texts, _UNCUT), pc.greater(pc.binary_length(texts), TOGETHER))
+        own = {i: self.of(texts[i].as_py()) for i in np.flatnonzero(uncut.to_numpy(zero_copy_only=False)).tolist()}
+        if own:
+            texts = pc.if_else(uncut, pa.scalar("", texts.type), texts)
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        words, starts = cut.flatten(), cut.offsets.to_numpy()
+        coded = words.dictionary_encode()
+        codes = coded.indices.to_numpy().copy()
+        # no blank stands before a text's first word, a line feed and the word behind it
+        feeds = np.flatnonzero(codes == pc.index(coded.dictionary, pa.scalar("\n", words.type)).as_py())
+        bare = np.unique(np.concatenate([starts[:-1], feeds, feeds + 1]))
+        without = words.take(pa.array(bare)).dictionary_encode()
+        codes[bare] = len(coded.dictionary) + without.indices.to_numpy()
+        found = self._found([f" {word}" for word in _strings(coded.dictionary)] + _strings(without.dictionary))
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        firsts = np.cumsum(sizes, dtype=np.int32) - sizes
+        counts = sizes[codes]
+        ends = np.cumsum(counts, dtype=np.int32)
+        places = np.repeat(firsts[codes] - (ends - counts), counts)
+        places += np.arange(len(places), dtype=np.int32)
+        out, stops = ids[places].tobytes(), (4 * ends[starts[1:] - 1].astype(np.int64)).tolist()
+        return [own[i] if i in own else out[a:b] for i, (a, b) in enumerate(zip([0, *stops[:-1]], stops, strict=True))]
+
+    def _found(self, words: list[str]) -> list[bytes]:
+        """The ids of words; those with marks behind them are not remembered, as they are few among many texts."""
+        found = list(map(self.known.get, words))
+        for i, word in enumerate(words):
+            if found[i] is None:
+                marked = None if word[-1:].isalnum() else _MARKED.fullmatch(word)
+                found[i] = b"".join(map(self._piece, marked.groups())) if marked else self._piece(word)
+        return found
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
 
 def _byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte: printable Latin-1 as is, the others from U+0100 on."""
@@ -143,11 +200,11 @@ def _tokenized(path: str, sequence: int, end_id: int):
     names = ["uid", "doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _ids(path).of
+        ids_of = _ids(path).of_all
         for batch in rows:
             out = []
-            for uid, doc_id, text in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(), texts(batch.column("__text")), strict=True):
-                ids = ids_of(text) + end
+            for uid, doc_id, ids in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(), ids_of(batch.column("__text")), strict=True):
+                ids += end
                 n = len(ids) // 4
                 for start in range(0, n, sequence):
                     piece = ids[4 * start : 4 * (start + sequence)]

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import make
 from tokenizers import Tokenizer
@@ -101,3 +102,36 @@ def test_new_words_skip_the_general_rule(tokenizer, monkeypatch):
     ids.known |= {m: np.array(tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ("!!", ",")}
     text = "one two Über three, four!!"
     assert ids.of(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_many_texts_give_the_tokenizers_ids(tokenizer, monkeypatch):
+    """Whatever white space stands where, in texts cut at once, in several slices and longer than a slice."""
+    monkeypatch.setattr(packing, "TOGETHER", 400)
+    letters, rnd = "ab éñ\n\r\t  \x1c\x85\xa0  '.s9,中́\0", random.Random(9)
+    many = [None, "", *["".join(rnd.choice(letters[: rnd.choice([6, 9, 40])]) for _ in range(rnd.randrange(40))) for _ in range(4000)]]
+    many += ["a b", "\nx\ny z\n", " a ", "end \n", "end\r\n", "it's, o'er.' <|endoftext|> x", "long words " * 60]
+    found = list(packing.Ids(PATH).of_all(pa.array(many, pa.string())))
+    for text, ids in zip(many, found, strict=True):
+        assert ids == np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
+def test_words_are_looked_up_once_for_many_texts(tokenizer):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    own = packing._ids(PATH)
+    own.known = Counted()
+    text = "Two lines, with\nmarks. And more\nlines."
+    rows = pa.record_batch({"uid": [*range(500)], "doc_id": [*range(500)], "__text": [text] * 500})
+    try:
+        out = pa.Table.from_batches(packing._tokenized(PATH, 2048, 1)(iter([rows])))
+        asked = own.known.asked
+    finally:
+        packing._ids.cache_clear()
+    ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
+    assert out["ids_crc32"].to_pylist() == [zlib.crc32(ids)] * 500 and out["doc_tokens"].to_pylist() == [len(ids) // 4] * 500
+    assert asked < 50
