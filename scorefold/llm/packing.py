@@ -40,7 +40,7 @@ LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 #: Pieces of text whose ids a worker remembers, twice.
 REMEMBERED = 400_000
 #: Bytes of texts whose words are looked up together.
-TOGETHER = 1 << 24
+TOGETHER = 1 << 23
 #: Pre-tokens of pieces made of Latin letters, digits, ASCII marks and single line feeds (an apostrophe has rules of its own).
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[!-~À-ɏ])")
 #: Pieces that are one such pre-token of letters, and letters with marks behind them.
