@@ -20,6 +20,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 REMEMBERED = 400_000
 #: Bytes of texts whose words are looked up together.
 TOGETHER = 1 << 23
+#: Bytes of a text that is cut in Arrow, where it may grow threefold and must stay under 2 GB.
+LONGEST = 1 << 29
 #: Pre-tokens of pieces made of Latin letters, digits, ASCII marks and single line feeds (an apostrophe has rules of its own).
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[!-~À-ɏ])")
 #: Pieces that are one such pre-token of letters, and letters with marks behind them.
@@ -99,18 +102,14 @@ class Ids:
         if ids is None:
             ids = self.before.get(piece) or self._new(piece)
             if len(piece) <= 64:
+                if len(self.known) >= REMEMBERED:
+                    self.known, self.before = {}, self.known
                 self.known[piece] = ids
         return ids
 
     def of(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
-        parts = pieces(text)
-        found = list(map(self.known.get, parts))
-        if None in found:
-            found = [self._piece(part) if ids is None else ids for part, ids in zip(parts, found, strict=True)]
-        return b"".join(found)
+        return next(self.of_all(pa.array([text], pa.large_string())))
 
     def of_all(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text, a null as an empty one; each word is looked up once in many texts."""
@@ -122,13 +121,13 @@ class Ids:
             yield from self._together(texts.slice(at, stop - at))
             at = stop
 
-    def _together(self, texts: pa.Array) -> list[bytes]:
-        uncut = pc.or_(pc.match_substring_regex(texts, _UNCUT), pc.greater(pc.binary_length(texts), TOGETHER))
-        own = {i: self.of(texts[i].as_py()) for i in np.flatnonzero(uncut.to_numpy(zero_copy_only=False)).tolist()}
-        if own:
-            texts = pc.if_else(uncut, pa.scalar("", texts.type), texts)
-        if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
+    def _together(self, texts: pa.Array) -> Iterator[bytes]:
+        uncut = pc.or_(pc.match_substring_regex(texts, _UNCUT), pc.greater(pc.binary_length(texts), LONGEST))
+        own, others = self._by_pieces(texts.filter(uncut)), self._by_words(texts.filter(pc.invert(uncut)))
+        return (next(own if here else others) for here in uncut.to_pylist())
+
+    def _by_words(self, texts: pa.Array) -> Iterator[bytes]:
+        """Of texts that may be cut before each blank and around each line feed."""
         cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
         words, starts = cut.flatten(), cut.offsets.to_numpy()
         coded = words.dictionary_encode()
@@ -138,16 +137,14 @@ class Ids:
         bare = np.unique(np.concatenate([starts[:-1], feeds, feeds + 1]))
         without = words.take(pa.array(bare)).dictionary_encode()
         codes[bare] = len(coded.dictionary) + without.indices.to_numpy()
-        found = self._found([f" {word}" for word in _strings(coded.dictionary)] + _strings(without.dictionary))
-        ids = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
-        firsts = np.cumsum(sizes, dtype=np.int32) - sizes
-        counts = sizes[codes]
-        ends = np.cumsum(counts, dtype=np.int32)
-        places = np.repeat(firsts[codes] - (ends - counts), counts)
-        places += np.arange(len(places), dtype=np.int32)
-        out, stops = ids[places].tobytes(), (4 * ends[starts[1:] - 1].astype(np.int64)).tolist()
-        return [own[i] if i in own else out[a:b] for i, (a, b) in enumerate(zip([0, *stops[:-1]], stops, strict=True))]
+        return _joined(self._found([f" {word}" for word in _strings(coded.dictionary)] + _strings(without.dictionary)), codes, starts)
+
+    def _by_pieces(self, texts: pa.Array) -> Iterator[bytes]:
+        cut = list(map(pieces, texts.to_pylist()))
+        starts = np.cumsum([0, *map(len, cut)])
+        coded = pa.array(chain.from_iterable(cut), pa.large_string()).dictionary_encode()
+        del cut
+        return _joined(self._found(_strings(coded.dictionary)), coded.indices.to_numpy(), starts)
 
     def _found(self, words: list[str]) -> list[bytes]:
         """The ids of words; those with marks behind them are not remembered, as they are few among many texts."""
@@ -159,6 +156,19 @@ class Ids:
         return found
 
 
+def _joined(found: list[bytes], codes: np.ndarray, starts: np.ndarray) -> Iterator[bytes]:
+    """The ids of each text: codes number its words in found, starts are the texts' first places in codes and the end."""
+    ids = np.frombuffer(b"".join(found), "<u4")
+    sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+    firsts = np.cumsum(sizes, dtype=np.int32) - sizes
+    counts = sizes[codes]
+    ends = np.cumsum(counts, dtype=np.int32)
+    places = np.repeat(firsts[codes] - (ends - counts), counts)
+    places += np.arange(len(places), dtype=np.int32)
+    out, stops = ids[places].tobytes(), (4 * np.append(np.int64(0), ends)[starts]).tolist()
+    return (out[a:b] for a, b in pairwise(stops))
+
+
 def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 

@@ -105,11 +105,12 @@ def test_new_words_skip_the_general_rule(tokenizer, monkeypatch):
 
 
 def test_many_texts_give_the_tokenizers_ids(tokenizer, monkeypatch):
-    """Whatever white space stands where, in texts cut at once, in several slices and longer than a slice."""
+    """Whatever white space stands where, in several slices, in texts longer than a slice and too long for Arrow."""
     monkeypatch.setattr(packing, "TOGETHER", 400)
+    monkeypatch.setattr(packing, "LONGEST", 600)
     letters, rnd = "ab éñ\n\r\t  \x1c\x85\xa0  '.s9,中́\0", random.Random(9)
     many = [None, "", *["".join(rnd.choice(letters[: rnd.choice([6, 9, 40])]) for _ in range(rnd.randrange(40))) for _ in range(4000)]]
-    many += ["a b", "\nx\ny z\n", " a ", "end \n", "end\r\n", "it's, o'er.' <|endoftext|> x", "long words " * 60]
+    many += ["a b", "\nx\ny z\n", " a ", "end \n", "end\r\n", "it's, o'er.' <|endoftext|> x", "many words " * 50, "more words " * 60]
     found = list(packing.Ids(PATH).of_all(pa.array(many, pa.string())))
     for text, ids in zip(many, found, strict=True):
         assert ids == np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes(), text
@@ -135,3 +136,12 @@ def test_words_are_looked_up_once_for_many_texts(tokenizer):
     ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
     assert out["ids_crc32"].to_pylist() == [zlib.crc32(ids)] * 500 and out["doc_tokens"].to_pylist() == [len(ids) // 4] * 500
     assert asked < 50
+
+
+def test_no_more_is_remembered_than_stated(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    ids, rnd = packing.Ids(PATH), random.Random(3)
+    text = " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(300))
+    for _ in range(2):
+        assert ids.of(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(ids.known) <= 20 and len(ids.before) <= 20
